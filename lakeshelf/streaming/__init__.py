@@ -1,0 +1,5 @@
+"""Deliberately empty: every workload here is a daily batch keyed by a date.
+
+Late data is handled by running a day again, which replaces that day
+(``lakeshelf.sinks.days``).
+"""
