@@ -7,11 +7,12 @@ their name write to the shared scratch folder first and return what is read back
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeshelf import schemas
 from lakeshelf.functions import (
@@ -48,7 +49,7 @@ from lakeshelf.sinks.files import (
 from lakeshelf.sources.layout import Layout, day_path
 from lakeshelf.sources.payloads import field_of_objects, read_json_numbers, read_json_objects
 from lakeshelf.sources.snapshots import read_csv, read_history, read_snapshot
-from lakeshelf.sources.tables import folder_tables, orders_of_day, read_table, read_tables
+from lakeshelf.sources.tables import folder_tables, orders_of_day
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +61,7 @@ ORDER_DAY = "1998-10-03"
 EVENT_DAY, NEXT_DAY = "2024-01-05", "2024-01-06"
 EVENTS_FROM, EVENTS_TO = "2024-01-01", "2024-01-30"
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
@@ -75,6 +77,19 @@ def _query(sql: str | None = None, name: str | None = None):
     return register
 
 
+def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """One given table. These never change, so each one's schema is looked up only once."""
+    path = f"{folder}/{table}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+
+
+def read_tables(spark: SparkSession, folder: str, tables: Iterable[str]) -> dict[str, DataFrame]:
+    return {table: read_table(spark, folder, table) for table in tables}
+
+
 # --- the questions, bound to the order tables ---------------------------------------------
 
 
@@ -383,11 +398,11 @@ def key_violations(spark, sf_dir):
     UNION ALL
     SELECT 'not_null', 'doc_id', count(*) FROM documents WHERE doc_id IS NULL HAVING count(*) > 0
     UNION ALL
-    SELECT 'unique', 'text,lang', CAST(sum(n) AS BIGINT)
-    FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang HAVING count(*) > 1) HAVING sum(n) > 0
+    SELECT 'unique', 'source,n_chars', CAST(sum(n) AS BIGINT)
+    FROM (SELECT count(*) AS n FROM documents GROUP BY source, n_chars HAVING count(*) > 1) HAVING sum(n) > 0
 """)
 def rule_violations(spark, sf_dir):
-    rules = schemas.Rules(("text", "lang"), ("doc_id",), {"text": 255, "lang": 1})
+    rules = schemas.Rules(("source", "n_chars"), ("doc_id",), {"text": 255, "lang": 1})
     return violations(read_table(spark, sf_dir, "documents"), rules)
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,25 +44,37 @@ def left_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     return matched.unionByName(unmatched.select("*", *blanks))
 
 
+def _row_weight(df: DataFrame) -> Column:
+    """Bytes of one row: text by its length, 16 for a plain value, no limit for the rest."""
+    weight = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            weight = weight + F.coalesce(F.octet_length(f.name), F.lit(0))
+        else:
+            weight = weight + F.lit(16 if isinstance(f.dataType, T.AtomicType) else BROADCAST_BYTES)
+    return weight
+
+
 def broadcast_if_small(
-    dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Hint a broadcast only if the table was counted and weighed to be small.
+    *dims: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> list[DataFrame]:
+    """Hint a broadcast for each table that was counted and weighed to be small.
 
-    Otherwise the frame is returned as it is and Spark joins by shuffle. The row count of a
-    Parquet table comes from its footers; text is weighed only when the row count passed.
+    The others are returned as they are, and Spark joins them by shuffle. One aggregation
+    over the given columns measures all tables; select only the needed ones before.
     """
-    if dim.count() > max_rows:
-        return dim
-    width = F.lit(0)
-    for f in dim.schema.fields:
-        variable = isinstance(f.dataType, (T.StringType, T.BinaryType))
-        size = F.coalesce(F.octet_length(f.name), F.lit(0)) if variable else F.lit(
-            16 if isinstance(f.dataType, T.AtomicType) else max_bytes
+    sizes = [
+        dim.agg(
+            F.lit(i).alias("dim"), F.count(F.lit(1)).alias("n"), F.sum(_row_weight(dim)).alias("weight")
         )
-        width = width + size.cast("bigint")
-    weight = dim.agg(F.sum(width)).first()[0] or 0
-    return F.broadcast(dim) if weight <= max_bytes else dim
+        for i, dim in enumerate(dims)
+    ]
+    small = {
+        row["dim"]
+        for row in reduce(DataFrame.union, sizes).collect()
+        if row["n"] <= max_rows and (row["weight"] or 0) <= max_bytes
+    }
+    return [F.broadcast(dim) if i in small else dim for i, dim in enumerate(dims)]
 
 
 def star_sum(
@@ -77,9 +90,9 @@ def star_sum(
     per foreign key before the first join, so that even a dimension too large to broadcast
     meets one row per key.
     """
+    narrow = [table.select(*dict.fromkeys([on, *columns])) for table, on, columns in dims]
     sums = add_up(fact, [fact_key], measures)
-    for table, on, columns in dims:
+    for dim, (_, on, columns) in zip(broadcast_if_small(*narrow), dims):
         carried = [c for c in sums.columns if c in result]
-        dim = broadcast_if_small(table.select(*dict.fromkeys([on, *columns])))
         sums = carry_up(sums, dim, on, columns, measures, keep=carried)
     return add_up(sums, result, measures)

@@ -24,19 +24,21 @@ def top_k(
 
     ``ties="rank"`` leaves gaps after ties, ``"dense_rank"`` ranks distinct values.
     """
-    values = df.select(F.col(by).alias("_value"))
+    if ties not in ("rank", "dense_rank"):
+        raise ValueError(f"ties must be 'rank' or 'dense_rank', not {ties!r}")
     order = F.desc_nulls_last("_value")
-    if ties == "dense_rank":
+    values = df.select(F.col(by).alias("_value"))
+    # The windows and the broadcast see at most k rows; a single leader needs no window.
+    if k == 1:
+        ranks = values.agg(F.max("_value").alias("_value")).withColumn(rank_column, F.lit(1).cast("bigint"))
+    elif ties == "dense_rank":
         leaders = values.distinct().orderBy(order).limit(k)
-        rank = F.dense_rank()
-    elif ties == "rank":
-        leaders = values.orderBy(order).limit(k)
-        rank = F.rank()
+        rank = F.row_number().over(Window.orderBy(order)).cast("bigint")
+        ranks = leaders.select("_value", rank.alias(rank_column))
     else:
-        raise ValueError(f"ties must be 'rank' or 'dense_rank', not {ties!r}")
-    # The window and the broadcast see at most k rows.
-    position = rank.over(Window.orderBy(order)).cast("bigint")
-    ranks = leaders.select("_value", position.alias(rank_column)).distinct()
+        leaders = values.orderBy(order).limit(k)
+        rank = F.rank().over(Window.orderBy(order)).cast("bigint")
+        ranks = leaders.select("_value", rank.alias(rank_column)).distinct()
     return df.join(F.broadcast(ranks), F.col(by).eqNullSafe(F.col("_value"))).drop("_value")
 
 

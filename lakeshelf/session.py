@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Collecting a stack trace per column expression slows down building large plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
