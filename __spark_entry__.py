@@ -688,6 +688,7 @@ def _rental(spark, sf_dir) -> dict[str, DataFrame]:
     number = F.replace(F.replace("n_name", F.lit("NATION_"), F.lit(" ")), F.lit(" 1"), F.lit("-1"))
     brand = F.substring("p_brand", 7, 9).cast("int").alias("category_id")
     copy_id = F.col("l_partkey") * 1_000_000_000 + F.col("l_suppkey")
+    rental_id = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rental_id")
     pairs = t["lineitem"].select("l_partkey", "l_suppkey").distinct()
     name = F.split("s_name", "#")
     return {
@@ -700,15 +701,13 @@ def _rental(spark, sf_dir) -> dict[str, DataFrame]:
         ),
         "inventory": pairs.select(copy_id.alias("inventory_id"), F.col("l_partkey").alias("film_id")),
         "rental": t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.col("l_orderkey").alias("rental_id"),
+            rental_id,
             copy_id.alias("inventory_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").alias("rental_date"),
             F.when(F.col("l_returnflag") != "N", F.col("l_shipdate")).alias("return_date"),
         ),
-        "payment": t["orders"].select(
-            F.col("o_orderkey").alias("rental_id"), money(F.col("o_totalprice")).alias("amount")
-        ),
+        "payment": t["lineitem"].select(rental_id, money(F.col("l_extendedprice")).alias("amount")),
         "customer": t["customer"].select(
             F.col("c_custkey").alias("customer_id"),
             F.col("c_custkey").alias("address_id"),
@@ -734,11 +733,12 @@ _RENTAL_SQL = """
     actor AS (SELECT s_suppkey AS actor_id, split_part(s_name, '#', 1) AS first_name,
                      split_part(s_name, '#', 2) AS last_name FROM supplier),
     inventory AS (SELECT DISTINCT l_partkey * 1000000000 + l_suppkey AS inventory_id, l_partkey AS film_id FROM lineitem),
-    rental AS (SELECT l_orderkey AS rental_id, l_partkey * 1000000000 + l_suppkey AS inventory_id,
+    rental AS (SELECT l_orderkey * 10 + l_linenumber AS rental_id, l_partkey * 1000000000 + l_suppkey AS inventory_id,
                       o_custkey AS customer_id, o_orderdate AS rental_date,
                       CASE WHEN l_returnflag <> 'N' THEN l_shipdate END AS return_date
                FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-    payment AS (SELECT o_orderkey AS rental_id, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders),
+    payment AS (SELECT l_orderkey * 10 + l_linenumber AS rental_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount
+                FROM lineitem),
     client AS (SELECT c_custkey AS customer_id, c_custkey AS address_id,
                       CASE WHEN c_mktsegment = 'BUILDING' THEN 2 WHEN c_acctbal >= 0 THEN 1 ELSE 0 END AS active
                FROM customer),

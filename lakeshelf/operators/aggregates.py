@@ -6,6 +6,11 @@ holds a third of all rows reaches the first join as one row. The shuffle of each
 partitions its result by the key of the next join, so no join of the chain shuffles the sums a
 second time. Counts and sums may be carried because a join multiplies a partial sum exactly as
 it would multiply the rows behind it.
+
+If the *other* table of the next join may hold very many rows of one key (a bridge, not a
+dimension), say ``splittable``. Spark splits a skewed join partition only if both inputs come
+straight from a shuffle made for that join. Grouping also by a hash of the key changes no
+group, but makes Spark shuffle the finished sums - one row per key - once more for the join.
 """
 
 from __future__ import annotations
@@ -16,13 +21,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def count_rows(df: DataFrame, by: Sequence[str] = (), name: str = "cnt") -> DataFrame:
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
+def _grouped(df: DataFrame, by: Sequence[str], sums: Sequence[Column], splittable: bool) -> DataFrame:
+    if not splittable:
+        return df.groupBy(*by).agg(*sums)
+    return df.groupBy(*by, F.xxhash64(*by).alias("_hash")).agg(*sums).drop("_hash")
+
 
+def count_rows(
+    df: DataFrame, by: Sequence[str] = (), name: str = "cnt", splittable: bool = False
+) -> DataFrame:
+    return _grouped(df, by, [F.count(F.lit(1)).alias(name)], splittable)
 
-def add_up(df: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
+
+def add_up(
+    df: DataFrame, by: Sequence[str], measures: Sequence[str], splittable: bool = False
+) -> DataFrame:
     """Sum each measure per group, keeping its name."""
-    return df.groupBy(*by).agg(*(F.sum(m).alias(m) for m in measures))
+    return _grouped(df, by, [F.sum(m).alias(m) for m in measures], splittable)
 
 
 def carry_up(
@@ -32,6 +47,7 @@ def carry_up(
     to: Sequence[str],
     measures: Sequence[str],
     keep: Sequence[str] = (),
+    splittable: bool = False,
 ) -> DataFrame:
     """Move sums per ``on`` to sums per ``to`` through the table ``via``.
 
@@ -39,7 +55,7 @@ def carry_up(
     as in an inner join.
     """
     columns = [on, *(c for c in to if c != on)]
-    return add_up(sums.join(via.select(*columns), on), [*to, *keep], measures)
+    return add_up(sums.join(via.select(*columns), on), [*to, *keep], measures, splittable)
 
 
 def flag_count(condition: Column) -> Column:

@@ -47,11 +47,16 @@ def films_per_category(tables: Tables, check_films: bool = True) -> DataFrame:
     return counts.orderBy(F.desc("cnt"), "category_id").select("name", "cnt")
 
 
+def _copies(tables: Tables) -> DataFrame:
+    """Inventory of films that exist."""
+    inventory = tables["inventory"].select("inventory_id", "film_id")
+    return inventory.join(tables["film"].select("film_id"), "film_id")
+
+
 def _rentals_per_actor(tables: Tables) -> DataFrame:
     n = ["rental_cnt"]
     per_copy = count_rows(tables["rental"], ["inventory_id"], "rental_cnt")
-    per_film = carry_up(per_copy, tables["inventory"], "inventory_id", ["film_id"], n)
-    per_film = per_film.join(tables["film"].select("film_id"), "film_id")
+    per_film = carry_up(per_copy, _copies(tables), "inventory_id", ["film_id"], n, splittable=True)
     per_actor = carry_up(per_film, tables["film_actor"], "film_id", ["actor_id"], n)
     return carry_up(
         per_actor, tables["actor"], "actor_id", ["actor_id", "first_name", "last_name"], n
@@ -75,10 +80,9 @@ def top_category_by_amount(tables: Tables, keep_ties: bool = True) -> DataFrame:
     """3: the category on which most money was spent; null amounts count for nothing."""
     amt = ["amt"]
     paid = tables["payment"].select("rental_id", F.col("amount").alias("amt"))
-    sums = add_up(paid, ["rental_id"], amt)
+    sums = add_up(paid, ["rental_id"], amt, splittable=True)
     sums = carry_up(sums, tables["rental"], "rental_id", ["inventory_id"], amt)
-    sums = carry_up(sums, tables["inventory"], "inventory_id", ["film_id"], amt)
-    sums = sums.join(tables["film"].select("film_id"), "film_id")
+    sums = carry_up(sums, _copies(tables), "inventory_id", ["film_id"], amt, splittable=True)
     sums = carry_up(sums, tables["film_category"], "film_id", ["category_id"], amt)
     sums = carry_up(sums, tables["category"], "category_id", ["category_id", "name"], amt)
     sums = sums.withColumn("amt", F.col("amt").cast("decimal(28,2)"))
@@ -101,8 +105,8 @@ def top_actors_of_category(tables: Tables, category: str = "Children", k: int =
     n = ["actor_film_cnt"]
     wanted = tables["category"].where(F.col("name") == category).select("category_id")
     films = tables["film_category"].select("film_id", "category_id").join(wanted, "category_id")
-    per_film = count_rows(films, ["film_id"], "actor_film_cnt")
-    per_film = per_film.join(tables["film"].select("film_id"), "film_id")
+    films = films.join(tables["film"].select("film_id"), "film_id")
+    per_film = count_rows(films, ["film_id"], "actor_film_cnt", splittable=True)
     per_actor = carry_up(per_film, tables["film_actor"], "film_id", ["actor_id"], n)
     per_actor = carry_up(
         per_actor, tables["actor"], "actor_id", ["actor_id", "first_name", "last_name"], n

@@ -122,6 +122,25 @@ def test_hot_key_is_split_in_the_left_outer_join(spark):
         assert df.count() == 60_000 + 30_000
 
 
+def test_hot_key_of_a_bridge_is_split(spark):
+    """The carried sums hold one row per key, but the bridge has a third of its rows on one."""
+    sold = spark.range(0, 50_000, numPartitions=8).select((F.col("id") % 20_000).alias("k"))
+    with settings(
+        spark,
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="100k",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+        adaptive__advisoryPartitionSizeInBytes="50k",
+    ):
+        sums = count_rows(sold, ["k"], splittable=True)
+        df = carry_up(sums, hot_rows(spark), "k", ["text"], ["cnt"])
+        plan = final_plan(df)
+        assert "SortMergeJoin(skew=true)" in plan
+        want = sold.join(hot_rows(spark), "k").groupBy("text").count()
+        assert df.exceptAll(want).count() == 0 and df.count() == want.count()
+
+
 def test_anti_join_shuffles_distinct_keys(spark):
     left = spark.range(0, 70_000, numPartitions=8).withColumnRenamed("id", "key")
     df = without_match(left, hot_rows(spark), "key", "k")
