@@ -616,7 +616,7 @@ def load_fact_orders(spark, sf_dir):
     layout = _layout(spark)
     day = orders_of_day(_orders(spark, sf_dir), ORDER_DAY)
     medallion.land_table(day, layout.bronze, "orders", ORDER_DAY)
-    silver = medallion.snapshot_to_silver(spark, layout, "orders", ORDER_DAY)
+    silver = medallion.snapshot_to_silver(spark, layout, "orders", ORDER_DAY, schemas.SHOP["orders"])
     medallion.load_orders_day(spark, layout, silver, ORDER_DAY)
     return read_days(spark, layout.gold_table("fact_orders"), ORDER_DAY, ORDER_DAY).select(
         *schemas.GOLD["fact_orders"].names

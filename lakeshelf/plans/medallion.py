@@ -7,7 +7,7 @@ stages replace what they write, so a repeated day gives the same tables.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +43,14 @@ def land_table(df: DataFrame, root: str, table: str, day: Day, sep: str = SEPARA
     write_csv(df, day_path(root, table, day), sep)
 
 
+def land_tables(
+    source: Source, tables: Iterable[str], root: str, day: Day, sep: str = SEPARATOR
+) -> None:
+    """Snapshots of all named tables of one source, each whole."""
+    for table in tables:
+        land_table(source(table), root, table, day, sep)
+
+
 def land_day(source: Source, root: str, day: Day, sep: str = SEPARATOR) -> None:
     """Snapshots of all dimensions and the day's orders."""
     for table in schemas.SHOP_DIMENSIONS:
@@ -59,21 +67,35 @@ def snapshot_to_silver(
     layout: Layout,
     table: str,
     day: Day,
-    schema: StructType | None = None,
+    schema: StructType | None,
     sep: str = SEPARATOR,
     files: int | None = None,
 ) -> DataFrame:
-    """Landed snapshot without repeated rows, as Parquet.
+    """Landed snapshot without repeated rows, as Parquet; no schema means inferred types.
 
     Whole rows are compared: two order lines equal in every column, order id included,
     become one.
     """
-    rows = read_snapshot(spark, layout.bronze, table, day, schema or schemas.SHOP[table], sep)
+    rows = read_snapshot(spark, layout.bronze, table, day, schema, sep)
     path = layout.silver_table(table, day)
     write_parquet(distinct_rows(rows), path, files)
     return spark.read.parquet(path)
 
 
+def tables_to_silver(
+    spark: SparkSession,
+    layout: Layout,
+    tables: Mapping[str, StructType | None],
+    day: Day,
+    sep: str = SEPARATOR,
+    files: int | None = None,
+) -> dict[str, DataFrame]:
+    return {
+        table: snapshot_to_silver(spark, layout, table, day, schema, sep, files)
+        for table, schema in tables.items()
+    }
+
+
 def payload_to_silver(
     spark: SparkSession, layout: Layout, day: Day, files: int | None = None
 ) -> DataFrame:
@@ -164,10 +186,7 @@ def run_day(
     """
     if source is not None:
         land_day(source, layout.bronze, day, sep)
-    silver = {
-        table: snapshot_to_silver(spark, layout, table, day, sep=sep, files=files)
-        for table in (*schemas.SHOP_DIMENSIONS, "orders")
-    }
+    silver = tables_to_silver(spark, layout, schemas.SHOP, day, sep, files)
     for table in schemas.SHOP_DIMENSIONS:
         load_dimension(layout, table, silver[table], files)
     load_orders_day(spark, layout, silver["orders"], day, files)

@@ -30,8 +30,9 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header line.
 
-    Values that do not fit the declared schema raise instead of turning into nulls. Without a
-    schema the types are inferred, which costs another pass. ``multi_line`` is needed for
+    Values that do not fit the declared schema raise instead of turning into nulls, and so does
+    a header with other names. Without a schema the types are inferred, which costs another
+    pass. ``multi_line`` is needed for
     values with line breaks; each file is then read by one task, so land many files
     (``write_csv`` does). Switch it off for tables without free text to split large files.
     """
@@ -40,7 +41,7 @@ def read_csv(
     )
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.option("mode", "FAILFAST").schema(schema).csv(path)
+    return reader.options(mode="FAILFAST", enforceSchema=False).schema(schema).csv(path)
 
 
 def read_snapshot(

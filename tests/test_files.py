@@ -54,6 +54,12 @@ def test_csv_value_of_wrong_type_raises(spark, tmp_path):
         read_csv(spark, path, AISLES).collect()
 
 
+def test_csv_with_other_columns_raises(spark, tmp_path):
+    path = put(tmp_path, "aisles.csv", "aisle,aisle_id\n1,2\n")
+    with pytest.raises(Exception, match="header|schema"):
+        read_csv(spark, path, AISLES).collect()
+
+
 def test_day_of_a_snapshot_comes_from_its_path(spark):
     root = scratch_path(spark, "bronze")
     for day, n in (("2021-01-01", 2), ("2021-01-02", 0), ("2021-01-04", 1)):

@@ -180,3 +180,18 @@ def test_column_types_of_rules_match_schemas():
         names = set(GOLD[table].names)
         assert {*rules.key, *rules.required, *rules.max_length} <= names
     assert set(GOLD_RULES) == set(GOLD)
+
+
+def test_any_source_lands_and_becomes_silver(spark, layout):
+    """Two databases through the same functions; types declared for one and inferred for the other."""
+    tables = {name: SHOP[name] for name in schemas.SILVER_TABLES if name in DIMENSIONS}
+    medallion.land_tables(
+        lambda t: spark.createDataFrame(DIMENSIONS[t], SHOP[t]), tables, layout.bronze, DAYS[0], sep=","
+    )
+    other = Layout(f"{layout.bronze}-2", f"{layout.silver}-2", layout.gold)
+    sales = spark.createDataFrame([(1, "2021-01-01"), (1, "2021-01-01")], "sales_id int, day string")
+    medallion.land_tables(lambda t: sales, ["sales_by_store"], other.bronze, DAYS[0], sep=",")
+    silver = medallion.tables_to_silver(spark, layout, tables, DAYS[0], sep=",")
+    assert {t: df.count() for t, df in silver.items()} == {t: len(set(DIMENSIONS[t])) for t in tables}
+    inferred = medallion.tables_to_silver(spark, other, {"sales_by_store": None}, DAYS[0], sep=",")
+    assert [tuple(r) for r in inferred["sales_by_store"].collect()] == [(1, dt.date(2021, 1, 1))]
