@@ -16,8 +16,11 @@ from pyspark.sql.types import StructType
 
 from lakeshelf import schemas
 from lakeshelf.functions import (
+    cents,
     contains_text,
+    days_between,
     exact_seconds,
+    from_cents,
     money,
     on_day,
     starts_with_ignoring_case,
@@ -159,11 +162,11 @@ def top1_limit(spark, sf_dir):
 """)
 def q3_top_category_by_amount(spark, sf_dir):
     lines = read_table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("s_suppkey"), money(F.col("l_extendedprice")).alias("amt")
+        F.col("l_suppkey").alias("s_suppkey"), cents(F.col("l_extendedprice")).alias("amt")
     )
     supplier = read_table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
     nation = read_table(spark, sf_dir, "nation")
-    sums = add_up(lines, ["s_suppkey"], ["amt"])
+    sums = add_up(lines, ["s_suppkey"], ["amt"]).select("s_suppkey", from_cents(F.col("amt")).alias("amt"))
     sums = carry_up(sums, supplier, "s_suppkey", ["n_nationkey"], ["amt"])
     sums = carry_up(sums, nation, "n_nationkey", ["n_nationkey", "n_name"], ["amt"])
     sums = sums.select("n_name", F.col("amt").cast("decimal(28,2)").alias("amt"))
@@ -670,8 +673,7 @@ def fact_day_pruned_read(spark, sf_dir):
     """All days written by one job, one of them read."""
     root = scratch_path(spark, "fact")
     facts = medallion.roll_up_days(_event_amounts(spark, sf_dir), EVENT_KEYS, "value")
-    spine = [r[0] for r in date_spine(spark, EVENTS_FROM, EVENTS_TO).collect()]
-    reload_days(facts, root, spine)
+    reload_days(facts, root, days_between(EVENTS_FROM, EVENTS_TO))
     return read_days(spark, root, NEXT_DAY, NEXT_DAY)
 
 

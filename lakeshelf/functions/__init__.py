@@ -13,6 +13,12 @@ def as_date(day: str | dt.date) -> dt.date:
     return day if isinstance(day, dt.date) else dt.date.fromisoformat(day)
 
 
+def days_between(first: str | dt.date, last: str | dt.date) -> list[dt.date]:
+    """All days of a range, both ends included."""
+    start, end = as_date(first), as_date(last)
+    return [start + dt.timedelta(n) for n in range((end - start).days + 1)]
+
+
 def starts_with_ignoring_case(text: Column, prefix: str) -> Column:
     return F.lower(text).startswith(prefix.lower())
 
@@ -66,5 +72,19 @@ def is_weekend(day: Column) -> Column:
 
 
 def money(amount: Column) -> Column:
-    """Exact cents; sum these, never doubles, whose sum depends on the order."""
+    """Exact amounts; sum these, never doubles, whose sum depends on the order."""
     return amount.cast("decimal(18,2)")
+
+
+def cents(amount: Column) -> Column:
+    """An amount stored as a double, in whole cents.
+
+    For the widest sum of a plan: adding up 64-bit cents per key costs a fraction of adding
+    up decimals, and holds 9e16 per key. Turn the sums back with ``from_cents`` before they
+    are carried on.
+    """
+    return F.rint(amount * 100).cast("bigint")
+
+
+def from_cents(total: Column) -> Column:
+    return (total.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(22,2)")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeshelf import schemas
-from lakeshelf.functions import as_date
+from lakeshelf.functions import as_date, days_between
 from lakeshelf.operators.aggregates import add_up
 from lakeshelf.operators.calendar import build_dates, new_dates
 from lakeshelf.operators.rows import distinct_rows
@@ -202,13 +202,12 @@ def run_payload_day(
 def _days_to_load(
     spark: SparkSession, layout: Layout, table: str, first: Day, last: Day, missing: str, suffix: str
 ) -> list[dt.date]:
-    start, end = as_date(first), as_date(last)
-    landed = landed_days(spark, layout.bronze, table, start, end, suffix)
-    gap = (end - start).days + 1 - len(landed)
     if missing not in ("fail", "skip"):
         raise ValueError(f"missing must be 'fail' or 'skip', not {missing!r}")
+    landed = landed_days(spark, layout.bronze, table, first, last, suffix)
+    gap = len(days_between(first, last)) - len(landed)
     if gap and missing == "fail":
-        raise MissingDay(f"{gap} of the days {start} to {end} have no {table} snapshot")
+        raise MissingDay(f"{gap} of the days {first} to {last} have no {table} snapshot")
     return landed
 
 

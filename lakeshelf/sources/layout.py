@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from lakeshelf.functions import as_date
+from lakeshelf.functions import as_date, days_between
 
 
 @dataclass(frozen=True)
@@ -37,8 +37,7 @@ def days_glob(
     root: str, table: str, first: str | dt.date, last: str | dt.date, suffix: str = "csv"
 ) -> str:
     """One pattern for all days of an inclusive range; only these folders are listed."""
-    start, end = as_date(first), as_date(last)
-    if end < start:
-        raise ValueError(f"empty range: {start} to {end}")
-    days = ",".join(str(start + dt.timedelta(n)) for n in range((end - start).days + 1))
-    return f"{root}/{table}/{{{days}}}/{table}.{suffix}"
+    days = days_between(first, last)
+    if not days:
+        raise ValueError(f"empty range: {first} to {last}")
+    return f"{root}/{table}/{{{','.join(map(str, days))}}}/{table}.{suffix}"

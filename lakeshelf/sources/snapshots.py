@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeshelf.functions import as_date
+from lakeshelf.functions import days_between
 from lakeshelf.sources.files import exists, list_names
 from lakeshelf.sources.layout import day_path, days_glob
 
@@ -87,11 +87,9 @@ def landed_days(
     suffix: str = "csv",
 ) -> list[dt.date]:
     """Days of an inclusive range that have a snapshot, be it an empty one."""
-    days = {day for day in list_names(spark, f"{root}/{table}") if len(day) == 10}
-    start, end = as_date(first), as_date(last)
-    wanted = (start + dt.timedelta(n) for n in range((end - start).days + 1))
+    folders = set(list_names(spark, f"{root}/{table}"))
     return [
         day
-        for day in wanted
-        if str(day) in days and exists(spark, day_path(root, table, day, suffix))
+        for day in days_between(first, last)
+        if str(day) in folders and exists(spark, day_path(root, table, day, suffix))
     ]
