@@ -39,7 +39,8 @@ def as_array_documents(df: DataFrame, columns: Sequence[str], per_document: int
     """JSON array documents of at most ``per_document`` objects, or bare values for one column.
 
     Rows are numbered within their partition and cut into runs, so a document never outgrows
-    its limit, whatever the data holds.
+    its limit, whatever the data holds. Pass a scan: a task that is repeated after a lost
+    executor numbers the rows of a file as before, but not those of a shuffle.
     """
     item = F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
     run = F.floor(F.monotonically_increasing_id() / per_document)

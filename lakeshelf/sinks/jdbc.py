@@ -20,7 +20,9 @@ def replace_table(df: DataFrame, options: Mapping[str, str], table: str) -> None
 def append_rows(df: DataFrame, options: Mapping[str, str], table: str, connections: int = 10) -> None:
     """Append over at most ``connections`` database connections.
 
-    The shuffle keeps the stage before it at full width.
+    The shuffle keeps the stage before it at full width. Each connection commits its rows
+    once; if an executor is lost right after a commit, the repeated task appends them again,
+    so reload the day (``reload_day``) after a job that lost executors.
     """
     df.repartition(connections).write.format("jdbc").mode("append").options(**options).options(
         dbtable=table, numPartitions=connections
