@@ -656,6 +656,12 @@ def fact_oos_day(spark, sf_dir):
     return medallion.out_of_stock_day(missing, EVENT_DAY)
 
 
+@_query("SELECT DISTINCT CAST(ts AS DATE) AS report_date, user_id AS product_id FROM events WHERE event_type = 'error'")
+def fact_oos_range(spark, sf_dir):
+    errors = read_table(spark, sf_dir, "events").where(F.col("event_type") == "error")
+    return distinct_rows(errors.select(F.col("ts").cast("date").alias("report_date"), F.col("user_id").alias("product_id")))
+
+
 @_query(_DAY_SUMS.format(where=f"WHERE CAST(ts AS DATE) BETWEEN DATE '{EVENT_DAY}' AND DATE '{NEXT_DAY}'"))
 def fact_day_reload(spark, sf_dir):
     """Two days, then the first again: the reload leaves it as it was."""

@@ -1,7 +1,7 @@
 """The daily pipeline: land (bronze), deduplicate (silver), star schema (gold).
 
-``run_day`` calls the stages in order; ``backfill_orders`` loads a range of days by one job. All
-stages replace what they write, so a repeated day gives the same tables.
+``run_day`` and ``run_payload_day`` call the stages in order; ``backfill_orders`` and
+``backfill_out_of_stock`` load a range of landed days by one job. All stages replace what they write, so a repeated day gives the same tables.
 """
 
 from __future__ import annotations
@@ -21,9 +21,9 @@ from lakeshelf.operators.rows import distinct_rows
 from lakeshelf.sinks.days import reload_day, reload_days
 from lakeshelf.sinks.files import write_csv, write_parquet
 from lakeshelf.sources.files import exists
-from lakeshelf.sources.layout import Layout, day_path
+from lakeshelf.sources.layout import Layout, day_path, days_glob
 from lakeshelf.sources.payloads import read_json_objects
-from lakeshelf.sources.snapshots import landed_days, read_history, read_snapshot
+from lakeshelf.sources.snapshots import day_of_file, landed_days, read_history, read_snapshot
 from lakeshelf.sources.tables import orders_of_day
 
 Day = str | dt.date
@@ -233,3 +233,17 @@ def backfill_orders(
         ensure_dates(spark, layout, _days_frame(spark, days))
         reload_days(roll_up_days(distinct_rows(rows)), layout.gold_table("fact_orders"), days)
     return days
+
+
+def backfill_out_of_stock(
+    spark: SparkSession, layout: Layout, first: Day, last: Day, missing: str = "fail"
+) -> list[dt.date]:
+    """The same for ``fact_oos`` and landed payloads."""
+    table = "out-of-stock"
+    days = _days_to_load(spark, layout, table, first, last, missing, "json")
+    if days:
+        payloads = read_json_objects(spark, days_glob(layout.bronze, table, first, last, "json"))
+        rows = payloads.select(day_of_file(table), "product_id")
+        ensure_dates(spark, layout, _days_frame(spark, days))
+        reload_days(distinct_rows(rows), layout.gold_table("fact_oos"), days)
+    return days

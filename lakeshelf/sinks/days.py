@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.functions import as_date
@@ -42,6 +42,6 @@ def reload_days(df: DataFrame, root: str, days: Iterable[dt.date]) -> None:
             reload_day(df.limit(0), root, day)
 
 
-def read_days(spark, root: str, first: str | dt.date, last: str | dt.date) -> DataFrame:
+def read_days(spark: SparkSession, root: str, first: str | dt.date, last: str | dt.date) -> DataFrame:
     """Fact rows of an inclusive day range; other days' folders are not read."""
     return spark.read.parquet(root).where(F.col(DAY).between(F.lit(as_date(first)), F.lit(as_date(last))))

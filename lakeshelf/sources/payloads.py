@@ -6,7 +6,7 @@ row of nulls, or into no row at all.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,21 +14,24 @@ from lakeshelf.schemas import OUT_OF_STOCK
 
 
 def read_json_objects(
-    spark: SparkSession, path: str, schema: StructType = OUT_OF_STOCK
+    spark: SparkSession, path: str, schema: StructType = OUT_OF_STOCK, multi_line: bool = False
 ) -> DataFrame:
-    """Rows of JSON documents, one document per line, each an object or an array of objects.
+    """Rows of JSON documents, each an object or an array of objects.
 
-    Fields outside the schema are not read; single-quoted text is accepted.
+    There is one document per line, or with ``multi_line`` one per file. Fields outside the
+    schema are not read; single-quoted text is accepted.
     """
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(schema).options(mode="FAILFAST", multiLine=multi_line).json(path)
 
 
-def read_json_numbers(spark: SparkSession, path: str, name: str = "product_id") -> DataFrame:
-    """Rows of documents that hold a bare array of numbers, one document per line."""
+def read_json_numbers(
+    spark: SparkSession, path: str, name: str = "product_id", multi_line: bool = False
+) -> DataFrame:
+    """Rows of documents that hold a bare array of numbers, one per line or one per file."""
     numbers = F.from_json("value", "array<bigint>", {"mode": "FAILFAST"})
-    return spark.read.text(path).select(F.explode(numbers).alias(name))
+    return spark.read.text(path, wholetext=multi_line).select(F.explode(numbers).alias(name))
 
 
-def field_of_objects(items: str, field: str):
+def field_of_objects(items: str, field: str) -> Column:
     """The array of one field's values from an array of objects."""
     return F.transform(F.col(items), lambda item: item[field])

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -72,7 +72,7 @@ def read_history(
     return rows.select(day_of_file(table), "*")
 
 
-def day_of_file(table: str, name: str = "report_date"):
+def day_of_file(table: str, name: str = "report_date") -> Column:
     """The day in the path of the file a row was read from."""
     day = F.regexp_extract(F.col("_metadata.file_path"), rf"/{table}/(\d{{4}}-\d\d-\d\d)/{table}\.", 1)
     return F.to_date(day).alias(name)

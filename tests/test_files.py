@@ -105,6 +105,13 @@ def test_json_objects(spark, tmp_path, text, expected):
     assert rows(df) == Counter(expected)
 
 
+def test_json_over_several_lines(spark, tmp_path):
+    path = put(tmp_path, "p.json", '[\n  {"product_id": 5},\n  {"product_id": 6}\n]\n')
+    assert rows(read_json_objects(spark, path, multi_line=True)) == Counter([(5,), (6,)])
+    path = put(tmp_path, "q.json", "[\n 5,\n 6]\n")
+    assert rows(read_json_numbers(spark, path, multi_line=True)) == Counter([(5,), (6,)])
+
+
 def test_json_that_does_not_parse_raises(spark, tmp_path):
     path = put(tmp_path, "p.json", "[{'product_id': 1}, {'product_id': None}]")
     with pytest.raises(Exception, match="MALFORMED"):

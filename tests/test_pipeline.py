@@ -118,6 +118,13 @@ def test_out_of_stock(spark, layout):
         medallion.run_payload_day(spark, layout, day, files=2)
     assert facts(spark, layout, "fact_oos") == Counter([(DAYS[0], 3), (DAYS[0], 4)])
     assert len(dates(spark, layout)) == 2
+    again = Layout(layout.bronze, f"{layout.silver}-2", f"{layout.gold}-2")
+    reload_day(spark.createDataFrame([(9,)], schemas.OUT_OF_STOCK), again.gold_table("fact_oos"), DAYS[1])
+    with pytest.raises(medallion.MissingDay):
+        medallion.backfill_out_of_stock(spark, again, DAYS[0], DAYS[2])
+    loaded = medallion.backfill_out_of_stock(spark, again, DAYS[0], DAYS[2], missing="skip")
+    assert [str(d) for d in loaded] == list(DAYS[:2])
+    assert facts(spark, again, "fact_oos") == facts(spark, layout, "fact_oos")
 
 
 def test_reload_clears_an_empty_day(spark):
