@@ -1,6 +1,6 @@
 """Queries on the given tables, each next to the SQL that must give the same rows.
 
-Rental frames and shop snapshots are derived from the given tables (``_rental``, ``_orders``), so
+Rental frames and shop snapshots are derived from the given tables (``_Rental``, ``_orders``), so
 that the library's own plans run over whole tables. Queries with a file format or a pipeline in
 their name write to the shared scratch folder first and return what is read back.
 """
@@ -307,7 +307,7 @@ def sum_duration_seconds(spark, sf_dir):
 @_query("""
     SELECT n_nationkey AS nationkey, n_name, c_custkey, c_mktsegment
     FROM customer JOIN nation ON c_nationkey = n_nationkey
-""")
+""", name="join_using")
 def join_using_key(spark, sf_dir):
     customer = read_table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "nationkey")
     nation = read_table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "nationkey")
@@ -315,10 +315,6 @@ def join_using_key(spark, sf_dir):
     return joined.select("nationkey", "n_name", "c_custkey", "c_mktsegment")
 
 
-_QUERIES["join_using"] = _QUERIES.pop("join_using_key")
-_SQL["join_using"] = _SQL.pop("join_using_key")
-
-
 @_query("""
     SELECT o_orderkey, o_orderstatus, l_linenumber, l_partkey, l_quantity
     FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
@@ -686,51 +682,86 @@ def fact_day_pruned_read(spark, sf_dir):
 # --- the questions on rental frames -----------------------------------------------------------
 
 
-def _rental(spark, sf_dir) -> dict[str, DataFrame]:
+class _Rental(dict):
     """Parts as films, brands as categories, suppliers as actors, order lines as rentals.
 
-    A copy in the inventory is a part at a supplier.
+    A copy in the inventory is a part at a supplier. Only the frames a question asks for are
+    built.
     """
-    t = read_tables(spark, sf_dir, ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"))
-    # Names such as "ASIA 4" and "AFRICA-12".
-    number = F.replace(F.replace("n_name", F.lit("NATION_"), F.lit(" ")), F.lit(" 1"), F.lit("-1"))
-    brand = F.substring("p_brand", 7, 9).cast("int").alias("category_id")
-    copy_id = F.col("l_partkey") * 1_000_000_000 + F.col("l_suppkey")
-    rental_id = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rental_id")
-    pairs = t["lineitem"].select("l_partkey", "l_suppkey").distinct()
-    name = F.split("s_name", "#")
-    return {
-        "category": t["part"].select(brand, F.col("p_brand").alias("name")).distinct(),
-        "film": t["part"].select(F.col("p_partkey").alias("film_id"), F.col("p_name").alias("title")),
-        "film_category": t["part"].select(F.col("p_partkey").alias("film_id"), brand),
-        "film_actor": pairs.select(F.col("l_partkey").alias("film_id"), F.col("l_suppkey").alias("actor_id")),
-        "actor": t["supplier"].select(
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.table = partial(read_table, spark, sf_dir)
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = getattr(self, name)()
+        return self[name]
+
+    @staticmethod
+    def _brand():
+        return F.substring("p_brand", 7, 9).cast("int").alias("category_id")
+
+    @staticmethod
+    def _copy():
+        return (F.col("l_partkey") * 1_000_000_000 + F.col("l_suppkey")).alias("inventory_id")
+
+    @staticmethod
+    def _line():
+        return (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rental_id")
+
+    def category(self):
+        return self.table("part").select(self._brand(), F.col("p_brand").alias("name")).distinct()
+
+    def film(self):
+        return self.table("part").select(F.col("p_partkey").alias("film_id"), F.col("p_name").alias("title"))
+
+    def film_category(self):
+        return self.table("part").select(F.col("p_partkey").alias("film_id"), self._brand())
+
+    def film_actor(self):
+        pairs = self.table("lineitem").select("l_partkey", "l_suppkey").distinct()
+        return pairs.select(F.col("l_partkey").alias("film_id"), F.col("l_suppkey").alias("actor_id"))
+
+    def actor(self):
+        name = F.split("s_name", "#")
+        return self.table("supplier").select(
             F.col("s_suppkey").alias("actor_id"), name[0].alias("first_name"), name[1].alias("last_name")
-        ),
-        "inventory": pairs.select(copy_id.alias("inventory_id"), F.col("l_partkey").alias("film_id")),
-        "rental": t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey")).select(
-            rental_id,
-            copy_id.alias("inventory_id"),
+        )
+
+    def inventory(self):
+        pairs = self.table("lineitem").select("l_partkey", "l_suppkey").distinct()
+        return pairs.select(self._copy(), F.col("l_partkey").alias("film_id"))
+
+    def rental(self):
+        lines, orders = self.table("lineitem"), self.table("orders")
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            self._line(),
+            self._copy(),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").alias("rental_date"),
             F.when(F.col("l_returnflag") != "N", F.col("l_shipdate")).alias("return_date"),
-        ),
-        "payment": t["lineitem"].select(rental_id, money(F.col("l_extendedprice")).alias("amount")),
-        "customer": t["customer"].select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_custkey").alias("address_id"),
-            F.when(F.col("c_mktsegment") == "BUILDING", 2)
-            .when(F.col("c_acctbal") >= 0, 1)
-            .otherwise(0)
-            .alias("active"),
-        ),
-        "address": t["customer"].select(
+        )
+
+    def payment(self):
+        return self.table("lineitem").select(self._line(), money(F.col("l_extendedprice")).alias("amount"))
+
+    def customer(self):
+        active = F.when(F.col("c_mktsegment") == "BUILDING", 2).when(F.col("c_acctbal") >= 0, 1).otherwise(0)
+        key = F.col("c_custkey")
+        return self.table("customer").select(key.alias("customer_id"), key.alias("address_id"), active.alias("active"))
+
+    def address(self):
+        return self.table("customer").select(
             F.col("c_custkey").alias("address_id"), F.col("c_nationkey").alias("city_id")
-        ),
-        "city": t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey")).select(
+        )
+
+    def city(self):
+        """Names such as "ASIA 4" and "AFRICA-12"."""
+        number = F.replace(F.replace("n_name", F.lit("NATION_"), F.lit(" ")), F.lit(" 1"), F.lit("-1"))
+        nation, region = self.table("nation"), self.table("region")
+        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
             F.col("n_nationkey").alias("city_id"), F.concat("r_name", number).alias("city")
-        ),
-    }
+        )
 
 
 _RENTAL_SQL = """
@@ -759,7 +790,7 @@ _RENTAL_SQL = """
 
 def _rental_query(name: str, plan: Callable[..., DataFrame], sql: str, **options) -> None:
     def run(spark, sf_dir):
-        return plan(_rental(spark, sf_dir), **options)
+        return plan(_Rental(spark, sf_dir), **options)
 
     _query(_RENTAL_SQL + sql, name=name)(run)
 
