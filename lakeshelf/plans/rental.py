@@ -137,6 +137,7 @@ def customers_per_city(tables: Tables, inactive: str = "zero") -> DataFrame:
 
 def city_patterns(city: Column) -> dict[str, Column]:
     """The two groups of cities that question 7 asks for, by output title."""
+    # The titles.
     return {
         "most popular category for A% cities:": starts_with_ignoring_case(city, "a"),
         "most popular category for %-% cities:": contains_text(city, "-"),
