@@ -7,6 +7,8 @@ their name write to the shared scratch folder first and return what is read back
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 from collections.abc import Callable, Iterable
 from functools import partial
 
@@ -918,9 +920,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return q7_longest_by_pattern(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def own_queries() -> dict[str, Query]:
+    """The queries of this module, without those of the corpus subpackage."""
     return dict(_QUERIES)
 
 
+def _corpus(attribute: str) -> dict:
+    """What the corpus subpackage and the corpus pipeline add, where they are installed."""
+    found = {}
+    if importlib.util.find_spec("lakeshelf.llm"):
+        found |= getattr(importlib.import_module("lakeshelf.llm.queries"), attribute)
+        if importlib.util.find_spec("corpus_pipeline"):
+            pipeline = importlib.import_module("corpus_pipeline")
+            found |= {"QUERIES": {"pipeline": pipeline.run}, "SQL": {"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {}}[attribute]
+    return found
+
+
+def queries() -> dict[str, Query]:
+    return {**_QUERIES, **_corpus("QUERIES")}
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return {**_SQL, **_corpus("SQL")}
