@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lakeshelf.llm.license_scan import COVER, K, NEAR, TEMPLATES
 from lakeshelf.llm.secret_scan import BASE_RULES, RULES
 
 
@@ -66,7 +67,67 @@ _MIX = r"""
     FROM placed
 """
 
+
+
+def _licenses() -> str:
+    grams = []
+    for i, t in enumerate(TEMPLATES):
+        words = t.words.split()
+        for at in range(len(words) - K + 1):
+            gram = " ".join(words[at : at + K])
+            grams.append(f"({_quoted(gram)}, {i}, {at}, {len(words) - K + 1}, {t.exact}, {_quoted(t.label)})")
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+    WITH templates(gram, template, at_word, size, exact, label) AS (VALUES {", ".join(grams)}),
+    docs AS (
+        SELECT row_number() OVER () AS row, doc_id,
+               coalesce(regexp_extract_all(translate(text, '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+        FROM documents
+    ), words AS (SELECT row, unnest(range(len(w))) AS place, unnest(w) AS word FROM docs),
+    pairs AS (SELECT row, place, word || ' ' || lead(word) OVER (PARTITION BY row ORDER BY place) AS gram FROM words),
+    diagonals AS (
+        SELECT row, template, size, exact, label, place - at_word AS diagonal, count(*) AS votes, min(place) AS low, max(place) AS high
+        FROM pairs JOIN templates USING (gram) GROUP BY ALL
+    ), fresh AS (
+        SELECT *, coalesce(exact OR diagonal - lag(diagonal) OVER (PARTITION BY row, template ORDER BY diagonal) > {NEAR}, true)::INTEGER AS is_new
+        FROM diagonals
+    ), numbered AS (SELECT *, sum(is_new) OVER (PARTITION BY row, template ORDER BY diagonal) AS span FROM fresh),
+    spans AS (
+        SELECT row, size, exact, label, least(sum(votes) / size::DOUBLE, 1.0) AS share, sum(votes) AS votes, min(low) AS low, max(high) AS high
+        FROM numbered GROUP BY row, template, size, exact, label, span
+    ), found AS (
+        SELECT row, max(share) AS best, count(*) FILTER (exact AND votes = size) AS n_base,
+               min(low) FILTER (exact AND votes = size) AS first_word, max(low) FILTER (exact AND votes = size) AS last_word,
+               list_sort(list_distinct(list(label) FILTER (exact AND votes = size))) AS base_labels,
+               list_sort(list_distinct(list(label) FILTER (CASE WHEN exact THEN votes = size ELSE share >= {COVER} AND high - low < 2 * size END))) AS labels
+        FROM spans GROUP BY row
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+           coalesce(array_to_string(base_labels, ','), '') AS base_labels, coalesce(array_to_string(labels, ','), '') AS labels,
+           coalesce(best, 0)::DOUBLE AS score
+    FROM docs LEFT JOIN found USING (row)
+    """
+
+
+_REPEATS = r"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+    ), windows AS (
+        SELECT row, doc_id, i, array_to_string(w[i : i + 12], ' ') AS win
+        FROM (SELECT row, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs WHERE doc_id IS NOT NULL)
+    ), least_doc AS (SELECT win, min(doc_id) AS least_id FROM windows GROUP BY win),
+    gone AS (
+        SELECT DISTINCT row, unnest(range(i, i + 13)) AS i FROM windows JOIN least_doc USING (win) WHERE doc_id > least_id
+    ), words AS (SELECT row, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs),
+    kept AS (SELECT row, string_agg(word, ' ' ORDER BY i) AS kept FROM words ANTI JOIN gone USING (row, i) GROUP BY row),
+    counts AS (SELECT row, count(*) AS n_removed FROM gone GROUP BY row)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM docs LEFT JOIN counts USING (row) LEFT JOIN kept USING (row)
+"""
+
 SQL = {
     "op6_mix_sources": _MIX,
+    "op8_license_diagonals": _licenses(),
+    "op9_repeated_windows": _REPEATS,
     "op10_secret_ledger": _secrets(),
 }

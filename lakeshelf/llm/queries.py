@@ -3,28 +3,56 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm import mixing, oracles, secret_scan
-from lakeshelf.llm.stored import read_table, stored
+from lakeshelf.llm import language, license_scan, mixing, oracles, packing, quality, secret_scan, substring_dedup
+from lakeshelf.llm.stored import read_table, ship_package, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def _query(function):
-    QUERIES[function.__name__] = function
+    @wraps(function)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = query
     if function.__name__ in oracles.SQL:
         SQL[function.__name__] = oracles.SQL[function.__name__]
-    return function
+    return query
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select(*columns)
 
 
+@_query
+def op3_pack_windows(spark, sf_dir):
+    return packing.pack(_documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op4_language(spark, sf_dir):
+    docs = _documents(spark, sf_dir, "doc_id", "text", "lang").withColumn("training", language.is_training() & F.col("lang").isNotNull())
+    model = language.train(docs.where("training"))
+    scored = stored(language.score(docs.select("doc_id", "training", "text"), model), "languages")
+    return language.with_rejection(scored).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@_query
+def op5_quality(spark, sf_dir):
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    featured = stored(quality.with_features(docs), "features")
+    model = quality.train(featured, read_table(spark, sf_dir, "labels"))
+    return quality.score(featured, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 @_query
 def op6_mix_sources(spark, sf_dir):
     docs = _documents(spark, sf_dir, "doc_id", "text", "source")
@@ -39,6 +67,32 @@ def op6_mix_sources(spark, sf_dir):
     )
 
 
+@_query
+def op8_license_diagonals(spark, sf_dir):
+    found = license_scan.scan(_documents(spark, sf_dir, "doc_id", "text"))
+    exact = F.filter("spans", lambda s: s["exact"])
+    starts = F.transform(exact, lambda s: s["start"])
+
+    def labels(spans):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(exact).cast("bigint").alias("n_base"),
+        F.array_min(starts).cast("bigint").alias("first_word"),
+        F.array_max(starts).cast("bigint").alias("last_word"),
+        labels(exact).alias("base_labels"),
+        labels(F.col("spans")).alias("labels"),
+        F.coalesce("best", F.lit(0.0)).alias("score"),
+    )
+
+
+@_query
+def op9_repeated_windows(spark, sf_dir):
+    return substring_dedup.repeated_words(_documents(spark, sf_dir, "doc_id", "text"))
+
+
 @_query
 def op10_secret_ledger(spark, sf_dir):
     docs = _documents(spark, sf_dir, F.col("doc_id").alias("path"), "text")

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,3 +30,20 @@ def parts_for(docs: DataFrame, text: str = "text", part_bytes: int = 4 << 20) ->
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, -(-size // part_bytes))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the package's modules to the Python workers, once per application; they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(prefix="lakeshelf-"), f"{package.name}.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, str(file.relative_to(package.parent)))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 _U = np.uint64
@@ -76,6 +77,19 @@ class Words:
         return np.flatnonzero(np.arange(len(self.ids)) + length <= ends)
 
 
+def by_bytes(batch: pa.RecordBatch, column: int, limit: int = 2 << 20):
+    """Slices of a batch whose texts in ``column`` make about ``limit`` bytes each; a longer text is alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    low, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > low and held + size > limit:
+            yield batch.slice(low, i - low)
+            low, held = i, 0
+        held += size
+    if low < batch.num_rows:
+        yield batch.slice(low)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Splitmix64's finishing steps (fixed values of that generator)."""
     x = x ^ (x >> _U(30))
