@@ -125,8 +125,32 @@ _REPEATS = r"""
     FROM docs LEFT JOIN counts USING (row) LEFT JOIN kept USING (row)
 """
 
+_NEAR_TEXT = r"""
+    WITH RECURSIVE docs AS (
+        SELECT doc_id, coalesce(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+        FROM documents
+    ), sets AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS shingle
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM docs WHERE len(w) > 0)
+    ), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+    common AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS inter
+        FROM sets AS x JOIN sets AS y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL
+    ), links AS (
+        SELECT a, b FROM common JOIN sizes AS m ON a = m.doc_id JOIN sizes AS n ON b = n.doc_id WHERE 100 * inter >= 75 * (m.n + n.n - inter)
+    ), steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (
+        SELECT a, b FROM steps
+        UNION SELECT reached.a, steps.b FROM reached JOIN steps ON reached.b = steps.a
+    ), classes AS (SELECT a AS doc_id, min(b) AS least_id FROM reached GROUP BY a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least_id, doc_id) AS component_id, coalesce(least_id, doc_id) = doc_id AS kept
+    FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN classes USING (doc_id)
+"""
+
 SQL = {
     "op6_mix_sources": _MIX,
+    "op7_near_text": _NEAR_TEXT,
     "op8_license_diagonals": _licenses(),
     "op9_repeated_windows": _REPEATS,
     "op10_secret_ledger": _secrets(),

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm import language, license_scan, mixing, oracles, packing, quality, secret_scan, substring_dedup
+from lakeshelf.llm import language, license_scan, mixing, near_text, oracles, packing, quality, secret_scan, substring_dedup
 from lakeshelf.llm.stored import read_table, ship_package, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,11 @@ def op6_mix_sources(spark, sf_dir):
     )
 
 
+@_query
+def op7_near_text(spark, sf_dir):
+    return near_text.near_duplicates(_documents(spark, sf_dir, "doc_id", "text"))
+
+
 @_query
 def op8_license_diagonals(spark, sf_dir):
     found = license_scan.scan(_documents(spark, sf_dir, "doc_id", "text"))
