@@ -148,7 +148,27 @@ _NEAR_TEXT = r"""
     FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN classes USING (doc_id)
 """
 
+# Lists are compared in double precision; a component that is null or not finite takes its vector out.
+_NEAR_VECTORS = """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM usable AS x JOIN usable AS y
+            ON x.label = y.label AND len(x.v) = len(y.v) AND x.vec_id <> y.vec_id
+        WHERE list_dot_product(x.v, y.v) / sqrt(list_dot_product(x.v, x.v) * list_dot_product(y.v, y.v)) >= 0.93
+    ), reached AS (
+        SELECT a, b FROM links UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+    ), classes AS (SELECT a AS vec_id, min(b) AS least_id FROM reached GROUP BY a),
+    counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(least_id, vec_id) AS component_id, coalesce(least_id, vec_id) = vec_id AS kept
+    FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN classes USING (vec_id)
+"""
+
 SQL = {
+    "op1_near_vectors": _NEAR_VECTORS,
     "op6_mix_sources": _MIX,
     "op7_near_text": _NEAR_TEXT,
     "op8_license_diagonals": _licenses(),

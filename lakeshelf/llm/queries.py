@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm import language, license_scan, mixing, near_text, oracles, packing, quality, secret_scan, substring_dedup
+from lakeshelf.llm import language, license_scan, mixing, near_text, near_vectors, oracles, packing, quality, secret_scan, substring_dedup, vector_search
 from lakeshelf.llm.stored import read_table, ship_package, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,16 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select(*columns)
 
 
+@_query
+def op1_near_vectors(spark, sf_dir):
+    return near_vectors.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op2_vector_search(spark, sf_dir):
+    return vector_search.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @_query
 def op3_pack_windows(spark, sf_dir):
     return packing.pack(_documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
