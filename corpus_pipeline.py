@@ -37,9 +37,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     ship_package(spark)
     field = F.col("_row").getField
     rows = _row(docs).select("_row", *(field(c).alias(c) for c in ("doc_id", "text", "lang")))
-    rows = rows.withColumn("training", language.is_training() & F.col("lang").isNotNull())
-    model = language.train(rows.where("training").select("lang", "text"))
-    scored = stored(language.score(rows.select("_row", "training", "text"), model), "languages")
+    rows = rows.withColumn("use", language.use("doc_id", "lang"))
+    model = language.train(rows.where("use = 'fit'").select("lang", "text"))
+    scored = stored(language.score(rows.select("_row", "use", "text"), model), "languages")
     return _columns(language.with_rejection(scored).where("NOT rejected"), docs)
 
 
@@ -59,12 +59,13 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     ship_package(spark)
     ledger = secret_scan.extend_ledger(docs.select("text"))
     found = secret_scan.findings(ledger).withColumnRenamed("blob", "_blob").withColumnRenamed("found", "_found")
-    text = secret_scan.redacted(F.col("_found"), F.col("text"))
     rows = docs.withColumn("_blob", secret_scan.address("text")).join(found, "_blob", "left")
-    changed = {"text": text}
+    # A column of its own first: inside a lambda, the name "text" would mean the new column of that name.
+    rows = rows.withColumn("_masked", secret_scan.redacted(F.col("_found"), F.col("text")))
+    changed = {"text": F.col("_masked")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.length(text).cast(kind))
+        changed["n_chars"] = F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.length("_masked").cast(kind))
     return rows.select(*(changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
 
 

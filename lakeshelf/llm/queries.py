@@ -49,9 +49,9 @@ def op3_pack_windows(spark, sf_dir):
 
 @_query
 def op4_language(spark, sf_dir):
-    docs = _documents(spark, sf_dir, "doc_id", "text", "lang").withColumn("training", language.is_training() & F.col("lang").isNotNull())
-    model = language.train(docs.where("training"))
-    scored = stored(language.score(docs.select("doc_id", "training", "text"), model), "languages")
+    docs = _documents(spark, sf_dir, "doc_id", "text", "lang").withColumn("use", language.use("doc_id", "lang"))
+    model = language.train(docs.where("use = 'fit'"))
+    scored = stored(language.score(docs.select("doc_id", "use", "text"), model), "languages")
     return language.with_rejection(scored).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
