@@ -26,6 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,12 +47,25 @@ def _unbits(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
 
 
+def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique`` with the inverse; pairs are sorted by column, which is much faster than as records."""
+    if keys.dtype.names is None:
+        return np.unique(keys, return_inverse=True)
+    order = np.lexsort((keys["b"], keys["a"]))
+    a, b = keys["a"][order], keys["b"][order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    of = np.empty(len(keys), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return keys[order[new]], of
+
+
 class Level:
     """The distinct keys of one part at one level, sorted by bucket and key."""
 
     def __init__(self, keys: np.ndarray, buckets: int):
         """``keys``: structured or plain array of the keys of all candidate windows."""
-        self.distinct, self.of = np.unique(keys, return_inverse=True)
+        self.distinct, self.of = _unique(keys)
         plain = self.distinct if self.distinct.dtype.names is None else self.distinct["a"]
         bucket = (plain % _U(buckets)).astype(np.int64)
         self.order = np.argsort(bucket, kind="stable")
@@ -85,26 +99,33 @@ class Part:
         self.docs = number[owner[self.starts]] if len(starts) else np.zeros(0, np.int64)
         self.window, self.n_buckets = window, buckets
         short = (window + 1) // 2
-        all_short = np.arange(max(0, len(self.hashes) - short + 1))
-        hashes = window_hashes(self.hashes, all_short, short)
-        if len(self.starts):
-            inner = np.lib.stride_tricks.sliding_window_view(hashes, window - short + 1)[self.starts]
-            least = inner.min(axis=1)
+        n = len(self.hashes) - window + 1
+        if n > 0:
+            hashes = window_hashes(self.hashes, np.arange(len(self.hashes) - short + 1), short)
+            least = hashes[:n]
+            for step in range(1, window - short + 1):
+                least = np.minimum(least, hashes[step : step + n])
+            least = least[self.starts]
         else:
             least = np.zeros(0, _U)
-        self.first = Level(least, buckets)
+        # Neighbouring windows mostly have the same smallest hash, so runs are sorted instead of windows.
+        fresh = np.ones(len(least), bool)
+        fresh[1:] = (least[1:] != least[:-1]) | (self.docs[1:] != self.docs[:-1])
+        self.first = Level(least[fresh], buckets)
+        self.run_docs = self.docs[fresh]
+        self.first_of = self.first.of[np.cumsum(fresh) - 1] if len(least) else self.first.of
 
     def repeated_here(self) -> np.ndarray:
         """Per distinct short hash: does it occur in two documents of this part?"""
         low = np.full(len(self.first.distinct), np.iinfo(np.int64).max)
         high = np.full(len(self.first.distinct), np.iinfo(np.int64).min)
-        np.minimum.at(low, self.first.of, self.docs)
-        np.maximum.at(high, self.first.of, self.docs)
+        np.minimum.at(low, self.first.of, self.run_docs)
+        np.maximum.at(high, self.first.of, self.run_docs)
         return low < high
 
     def extend(self, bits: dict[int, bytes]) -> Level:
         """The long windows whose short window repeats."""
-        self.candidates = np.flatnonzero(self.first.answered(bits)[self.first.of]) if len(self.first.of) else np.zeros(0, np.int64)
+        self.candidates = np.flatnonzero(self.first.answered(bits)[self.first_of]) if len(self.first_of) else np.zeros(0, np.int64)
         starts = self.starts[self.candidates]
         keys = np.empty(len(starts), [("a", _U), ("b", np.uint32)])
         keys["a"] = window_hashes(self.hashes, starts, self.window, seed=1)
@@ -176,7 +197,7 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, parts: int | None = No
     def judge_long(key: tuple, table: pa.Table) -> pa.Table:
         keys = [np.frombuffer(k, [("a", _U), ("b", np.uint32)]) for k in table.column("keys").to_pylist()]
         lowest = [np.frombuffer(x, np.int64) for x in table.column("lowest").to_pylist()]
-        distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
+        distinct, of = _unique(np.concatenate(keys))
         least = np.full(len(distinct), np.iinfo(np.int64).max)
         own = np.concatenate(lowest)
         np.minimum.at(least, of, own)
@@ -194,17 +215,11 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, parts: int | None = No
         gone = part.removed(bits[2])
         words, first = part.words, part.words.first
         removed = np.append(0, np.cumsum(gone))
-        vocabulary = np.empty(len(words.vocabulary), object)
-        vocabulary[:] = words.vocabulary
-        digests, texts = [], []
-        for low, high in zip(first[:-1].tolist(), first[1:].tolist()):
-            ids = words.ids[low:high]
-            if removed[high] > removed[low]:
-                ids = ids[~gone[low:high]]
-            kept = b" ".join(vocabulary[ids])
-            digests.append(hashlib.sha256(kept).hexdigest())
-            if with_text:
-                texts.append(kept.decode())
+        bounds = first - removed[first]
+        left = words.words.filter(pa.array(~gone)).cast(pa.binary())
+        kept = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), left), b" ").to_pylist()
+        digests = [hashlib.sha256(x).hexdigest() for x in kept]
+        texts = [x.decode() for x in kept] if with_text else []
         columns = [part.ids, pa.array(words.counts.astype(np.int64)), pa.array((removed[first[1:]] - removed[first[:-1]]).astype(np.int64)), pa.array(digests, pa.string())]
         return pa.table(columns + [pa.array(texts, pa.string())] * with_text, names=out.names)
 

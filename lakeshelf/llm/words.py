@@ -6,10 +6,11 @@ occurs inside a multi-byte UTF-8 character, so bytes and characters give the sam
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 _U = np.uint64
 
@@ -31,7 +32,7 @@ class Words:
     """The words of an Arrow text column (null: no words).
 
     ``ids`` numbers each word by ``vocabulary`` (list of bytes); the words of text ``i`` are
-    ``ids[first[i]:first[i + 1]]``.
+    ``ids[first[i]:first[i + 1]]``, and the same slice of the Arrow array ``words``.
     """
 
     def __init__(self, texts: pa.Array | pa.ChunkedArray, separator: np.ndarray = WHITE, lower: bool = False):
@@ -42,8 +43,8 @@ class Words:
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]] if len(texts) else np.zeros(0, np.uint8)
         bounds = bounds - bounds[0] if len(texts) else np.zeros(1, np.int64)
         if lower:
-            data = LOWER[data]
-        inside = ~separator[data]
+            data = np.frombuffer(data.tobytes().translate(LOWER.tobytes()), np.uint8)
+        inside = np.frombuffer(data.tobytes().translate((~separator).tobytes()), bool)
         edge = np.zeros(len(data) + 1, bool)
         edge[bounds] = True
         starts_here = inside.copy()
@@ -51,21 +52,32 @@ class Words:
         starts = np.flatnonzero(starts_here)
         self.n_texts = len(texts)
         self.first = np.searchsorted(starts, bounds)
-        kept = np.ascontiguousarray(data[inside])
-        before = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(inside, out=before[1:])
-        offsets = np.append(before[starts], len(kept)).astype(np.int64)
+        ends_here = inside.copy()
+        ends_here[:-1] &= ~inside[1:] | edge[1:-1]
+        offsets = np.append(0, np.cumsum(np.flatnonzero(ends_here) + 1 - starts))
+        kept = data[inside]
         words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
+        self.words = words
         coded = words.dictionary_encode()
         self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
-        self.vocabulary: list[bytes] = coded.dictionary.to_pylist()
+        self.dictionary = coded.dictionary
         self.counts = np.diff(self.first)
 
+    @cached_property
+    def vocabulary(self) -> list[bytes]:
+        return self.dictionary.to_pylist()
+
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of every word, in order."""
-        digest = xxhash.xxh3_64_intdigest
-        table = np.fromiter((digest(w) for w in self.vocabulary), _U, len(self.vocabulary))
-        return table[self.ids] if len(self.ids) else np.zeros(0, _U)
+        """A 64-bit hash of every word, in order: a polynomial in the word's bytes, from sums over the whole dictionary."""
+        if not len(self.ids):
+            return np.zeros(0, _U)
+        _, bounds, data = self.dictionary.buffers()
+        bounds = np.frombuffer(bounds, np.int64)[: len(self.dictionary) + 1]
+        up, down = _powers(int(bounds[-1]))
+        sums = np.zeros(bounds[-1] + 1, _U)
+        np.cumsum((np.frombuffer(data, np.uint8)[: bounds[-1]].astype(_U) + _U(1)) * up[: bounds[-1]], out=sums[1:])
+        table = (sums[bounds[1:]] - sums[bounds[:-1]]) * down[bounds[:-1]]
+        return mixed(table ^ (np.diff(bounds).astype(_U) << _U(56)))[self.ids]
 
     def owners(self) -> np.ndarray:
         """The text number of every word."""
@@ -77,6 +89,21 @@ class Words:
         return np.flatnonzero(np.arange(len(self.ids)) + length <= ends)
 
 
+_BASE = 0x9E3779B97F4A7C15 | 2  # odd, and twice odd when lowered by one
+_TABLES = [np.ones(1, _U), np.ones(1, _U)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n + 1`` powers of the base and of its inverse, modulo 2 ** 64."""
+    if len(_TABLES[0]) <= n:
+        size = 1 << (n + 1).bit_length()
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            steps = np.full(size, base, _U)
+            steps[0] = 1
+            _TABLES[i] = np.cumprod(steps)
+    return _TABLES[0], _TABLES[1]
+
+
 def by_bytes(batch: pa.RecordBatch, column: int, limit: int = 2 << 20):
     """Slices of a batch whose texts in ``column`` make about ``limit`` bytes each; a longer text is alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -102,8 +129,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def window_hashes(hashes: np.ndarray, starts: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     """A 64-bit hash of the ``length`` words from each start; it depends on their order."""
     state = np.full(len(starts), (seed * 0x9E3779B97F4A7C15 + length) & (2**64 - 1), _U)
+    # Starts without a gap need no look-up.
+    dense = len(starts) > 0 and starts[-1] - starts[0] == len(starts) - 1
     for step in range(length):
-        state ^= hashes[starts + step]
+        state ^= hashes[starts[0] + step : starts[0] + step + len(starts)] if dense else hashes[starts + step]
         state *= _U(0x9FB21C651E98DF25)
         state ^= state >> _U(29)
     return mixed(state)
