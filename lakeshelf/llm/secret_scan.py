@@ -59,7 +59,7 @@ MORE_RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("login", r"://[^\s/:@]{1,64}:[^\s/:@]{1,64}@"),
+    Rule("login", r"://[^\x09-\x0D\x20/:@]{1,64}:[^\x09-\x0D\x20/:@]{1,64}@"),
 )
 RULES = BASE_RULES + MORE_RULES
 
