@@ -77,13 +77,13 @@ def money(amount: Column) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """An amount stored as a double, in whole cents.
+    """An amount in whole cents, rounded as ``money`` rounds it.
 
     For the widest sum of a plan: adding up 64-bit cents per key costs a fraction of adding
     up decimals, and holds 9e16 per key. Turn the sums back with ``from_cents`` before they
     are carried on.
     """
-    return F.rint(amount * 100).cast("bigint")
+    return (money(amount) * 100).cast("bigint")
 
 
 def from_cents(total: Column) -> Column:

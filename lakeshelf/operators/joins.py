@@ -1,20 +1,14 @@
-"""Equi-joins: using, left outer, anti, and a star join with checked broadcasts."""
+"""Equi-joins: using, left outer, anti, and a star join of sums."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeshelf.operators.aggregates import add_up, carry_up
 
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
 def join_using(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
     """Inner join on equally named columns; each key appears once."""
     return left.join(right, list(keys))
@@ -35,48 +29,20 @@ def left_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
 
     At run time Spark can split a skewed partition on either side of an inner join, but only
     the left side of a left outer join. So the matched rows come from an inner join, and the
-    unmatched ones from an anti-join against the distinct keys. Column names must differ
-    between the two sides.
+    unmatched ones from an anti-join against the distinct keys. Both read the same rows, those
+    with a key, so they share the scan and the shuffle of the left side; rows without a key
+    are added by a scan that can skip data by statistics. Column names must differ between
+    the two sides.
     """
-    matched = left.join(right, F.col(left_key) == F.col(right_key))
-    unmatched = without_match(left, right, left_key, right_key)
+    keyed = left.where(F.col(left_key).isNotNull())
+    others = right.where(F.col(right_key).isNotNull())
+    matched = keyed.join(others, F.col(left_key) == F.col(right_key))
+    unmatched = without_match(keyed, others, left_key, right_key)
     blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    unmatched = unmatched.unionByName(left.where(F.col(left_key).isNull()))
     return matched.unionByName(unmatched.select("*", *blanks))
 
 
-def _row_weight(df: DataFrame) -> Column:
-    """Bytes of one row: text by its length, 16 for a plain value, no limit for the rest."""
-    weight = F.lit(0).cast("bigint")
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            weight = weight + F.coalesce(F.octet_length(f.name), F.lit(0))
-        else:
-            weight = weight + F.lit(16 if isinstance(f.dataType, T.AtomicType) else BROADCAST_BYTES)
-    return weight
-
-
-def broadcast_if_small(
-    *dims: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> list[DataFrame]:
-    """Hint a broadcast for each table that was counted and weighed to be small.
-
-    The others are returned as they are, and Spark joins them by shuffle. One aggregation
-    over the given columns measures all tables; select only the needed ones before.
-    """
-    sizes = [
-        dim.agg(
-            F.lit(i).alias("dim"), F.count(F.lit(1)).alias("n"), F.sum(_row_weight(dim)).alias("weight")
-        )
-        for i, dim in enumerate(dims)
-    ]
-    small = {
-        row["dim"]
-        for row in reduce(DataFrame.union, sizes).collect()
-        if row["n"] <= max_rows and (row["weight"] or 0) <= max_bytes
-    }
-    return [F.broadcast(dim) if i in small else dim for i, dim in enumerate(dims)]
-
-
 def star_sum(
     fact: DataFrame,
     dims: Sequence[tuple[DataFrame, str, Sequence[str]]],
@@ -87,12 +53,11 @@ def star_sum(
     """Sum a fact by attributes found along a chain of dimensions.
 
     ``dims`` is a chain of ``(table, join column, columns to carry on)``. The fact is summed
-    per foreign key before the first join, so that even a dimension too large to broadcast
-    meets one row per key.
+    per foreign key before the first join, so that every dimension meets one row per key.
+    Spark chooses between broadcast and shuffle at run time, by the sizes it then knows.
     """
-    narrow = [table.select(*dict.fromkeys([on, *columns])) for table, on, columns in dims]
     sums = add_up(fact, [fact_key], measures)
-    for dim, (_, on, columns) in zip(broadcast_if_small(*narrow), dims):
+    for dim, on, columns in dims:
         carried = [c for c in sums.columns if c in result]
         sums = carry_up(sums, dim, on, columns, measures, keep=carried)
     return add_up(sums, result, measures)

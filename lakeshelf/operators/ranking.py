@@ -15,6 +15,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
+
+
+MOST_LEADERS = 100_000
 
 
 def top_k(
@@ -22,8 +26,15 @@ def top_k(
 ) -> DataFrame:
     """Rows whose descending rank by ``by`` is at most ``k``, unsorted.
 
-    ``ties="rank"`` leaves gaps after ties, ``"dense_rank"`` ranks distinct values.
+    ``ties="rank"`` leaves gaps after ties, ``"dense_rank"`` ranks distinct values. ``by`` is
+    computed twice and compared for equality, so floating-point values, whose sums depend on
+    the order of adding, are refused. At most ``k`` rows are broadcast; ``k`` is bounded by
+    ``MOST_LEADERS``.
     """
+    if isinstance(df.schema[by].dataType, (FloatType, DoubleType)):
+        raise TypeError(f"{by} is a floating-point column; rank a decimal or whole number")
+    if k > MOST_LEADERS:
+        raise ValueError(f"k is at most {MOST_LEADERS}; sort and filter for more")
     if ties not in ("rank", "dense_rank"):
         raise ValueError(f"ties must be 'rank' or 'dense_rank', not {ties!r}")
     order = F.desc_nulls_last("_value")

@@ -1,7 +1,8 @@
 """The daily pipeline: land (bronze), deduplicate (silver), star schema (gold).
 
 ``run_day`` and ``run_payload_day`` call the stages in order; ``backfill_orders`` and
-``backfill_out_of_stock`` load a range of landed days by one job. All stages replace what they write, so a repeated day gives the same tables.
+``backfill_out_of_stock`` load a range of landed days by one job. All stages replace what they
+write, so a repeated day gives the same tables.
 """
 
 from __future__ import annotations
@@ -16,13 +17,14 @@ from pyspark.sql.types import StructType
 from lakeshelf import schemas
 from lakeshelf.functions import as_date, days_between
 from lakeshelf.operators.aggregates import add_up
-from lakeshelf.operators.calendar import build_dates, new_dates
+from lakeshelf.operators.calendar import build_dates
 from lakeshelf.operators.rows import distinct_rows
 from lakeshelf.sinks.days import reload_day, reload_days
 from lakeshelf.sinks.files import write_csv, write_parquet
-from lakeshelf.sources.files import exists
+from lakeshelf.session import scratch_path
+from lakeshelf.sources.files import exists, list_names, publish
 from lakeshelf.sources.layout import Layout, day_path, days_glob
-from lakeshelf.sources.payloads import read_json_objects
+from lakeshelf.sources.payloads import read_json_numbers, read_json_objects
 from lakeshelf.sources.snapshots import day_of_file, landed_days, read_history, read_snapshot
 from lakeshelf.sources.tables import orders_of_day
 
@@ -96,11 +98,28 @@ def tables_to_silver(
     }
 
 
+def read_payload(spark: SparkSession, path: str, form: str = "objects", multi_line: bool = False) -> DataFrame:
+    """Out-of-stock documents of either form: arrays of objects, or ``"numbers"`` for arrays of bare ids.
+
+    ``multi_line`` is for documents spread over lines, one per file.
+    """
+    if form not in ("objects", "numbers"):
+        raise ValueError(f"form must be 'objects' or 'numbers', not {form!r}")
+    if form == "objects":
+        return read_json_objects(spark, path, multi_line=multi_line)
+    return read_json_numbers(spark, path, multi_line=multi_line)
+
+
 def payload_to_silver(
-    spark: SparkSession, layout: Layout, day: Day, files: int | None = None
+    spark: SparkSession,
+    layout: Layout,
+    day: Day,
+    files: int | None = None,
+    form: str = "objects",
+    multi_line: bool = False,
 ) -> DataFrame:
     """The day's out-of-stock documents without repeated rows, as Parquet."""
-    rows = read_json_objects(spark, day_path(layout.bronze, "out-of-stock", day, "json"))
+    rows = read_payload(spark, day_path(layout.bronze, "out-of-stock", day, "json"), form, multi_line)
     path = layout.silver_table("oos", day)
     write_parquet(distinct_rows(rows), path, files)
     return spark.read.parquet(path)
@@ -139,15 +158,26 @@ def out_of_stock_day(silver: DataFrame, day: Day) -> DataFrame:
     return silver.select(F.lit(as_date(day)).alias("report_date"), "product_id")
 
 
-def ensure_dates(spark: SparkSession, layout: Layout, days: DataFrame) -> None:
-    """Add the days that ``dim_dates`` does not hold; present rows stay as they are."""
+def ensure_dates(spark: SparkSession, layout: Layout, days: Iterable[Day]) -> None:
+    """Add the days that ``dim_dates`` does not hold; present rows stay as they are.
+
+    The table has one file per day, named by it, and a file is written aside and moved to its
+    place when it is finished. So loads may run side by side: of two that add the same day
+    one file is left, and both files would hold the same row. The number of files is that of
+    the calendar's days.
+    """
     path = layout.gold_table("dim_dates")
-    wanted = build_dates(days, "report_date")
-    if exists(spark, path):
-        present = spark.read.schema(schemas.GOLD["dim_dates"]).parquet(path)
-        wanted = new_dates(present, wanted)
-    # A calendar: at most one row per day.
-    wanted.coalesce(1).write.mode("append").parquet(path)
+    present = set(list_names(spark, path)) if exists(spark, path) else set()
+    wanted = sorted({as_date(d) for d in days if f"{as_date(d)}.parquet" not in present})
+    if not wanted:
+        return
+    aside = scratch_path(spark, "dates")
+    rows = build_dates(_days_frame(spark, wanted), "report_date").withColumn("_day", F.col("report_date"))
+    rows.write.partitionBy("_day").parquet(aside)
+    for day in wanted:
+        folder = f"{aside}/_day={day}"
+        (file,) = list_names(spark, folder)
+        publish(spark, f"{folder}/{file}", f"{path}/{day}.parquet")
 
 
 def _days_frame(spark: SparkSession, days: Sequence[Day]) -> DataFrame:
@@ -157,14 +187,14 @@ def _days_frame(spark: SparkSession, days: Sequence[Day]) -> DataFrame:
 def load_orders_day(
     spark: SparkSession, layout: Layout, silver: DataFrame, day: Day, files: int | None = None
 ) -> None:
-    ensure_dates(spark, layout, _days_frame(spark, [day]))
+    ensure_dates(spark, layout, [day])
     reload_day(roll_up_day(silver, day), layout.gold_table("fact_orders"), day, files)
 
 
 def load_out_of_stock_day(
     spark: SparkSession, layout: Layout, silver: DataFrame, day: Day, files: int | None = None
 ) -> None:
-    ensure_dates(spark, layout, _days_frame(spark, [day]))
+    ensure_dates(spark, layout, [day])
     reload_day(out_of_stock_day(silver, day), layout.gold_table("fact_oos"), day, files)
 
 
@@ -193,9 +223,14 @@ def run_day(
 
 
 def run_payload_day(
-    spark: SparkSession, layout: Layout, day: Day, files: int | None = None
+    spark: SparkSession,
+    layout: Layout,
+    day: Day,
+    files: int | None = None,
+    form: str = "objects",
+    multi_line: bool = False,
 ) -> None:
-    silver = payload_to_silver(spark, layout, day, files)
+    silver = payload_to_silver(spark, layout, day, files, form, multi_line)
     load_out_of_stock_day(spark, layout, silver, day, files)
 
 
@@ -230,20 +265,26 @@ def backfill_orders(
         rows = read_history(
             spark, layout.bronze, "orders", first, last, schemas.SHOP["orders"], sep
         )
-        ensure_dates(spark, layout, _days_frame(spark, days))
+        ensure_dates(spark, layout, days)
         reload_days(roll_up_days(distinct_rows(rows)), layout.gold_table("fact_orders"), days)
     return days
 
 
 def backfill_out_of_stock(
-    spark: SparkSession, layout: Layout, first: Day, last: Day, missing: str = "fail"
+    spark: SparkSession,
+    layout: Layout,
+    first: Day,
+    last: Day,
+    missing: str = "fail",
+    form: str = "objects",
+    multi_line: bool = False,
 ) -> list[dt.date]:
     """The same for ``fact_oos`` and landed payloads."""
     table = "out-of-stock"
     days = _days_to_load(spark, layout, table, first, last, missing, "json")
     if days:
-        payloads = read_json_objects(spark, days_glob(layout.bronze, table, first, last, "json"))
+        payloads = read_payload(spark, days_glob(layout.bronze, table, first, last, "json"), form, multi_line)
         rows = payloads.select(day_of_file(table), "product_id")
-        ensure_dates(spark, layout, _days_frame(spark, days))
+        ensure_dates(spark, layout, days)
         reload_days(distinct_rows(rows), layout.gold_table("fact_oos"), days)
     return days

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,14 +33,10 @@ def build_session(app_name: str = "lakeshelf", **overrides: str) -> SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written intermediate table, dropped when the application ends.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    master, where driver and executors share one disk, may fall back to a temporary folder.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; without that setting
+    it is the warehouse, which driver and executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.gettempdir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     folder = f"{root.rstrip('/')}/lakeshelf-{uuid.uuid4().hex}"
     make_temporary(spark, folder)
     return f"{folder}/{name}"

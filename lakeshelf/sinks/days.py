@@ -15,7 +15,10 @@ DAY = "report_date"
 
 
 def reload_day(df: DataFrame, root: str, day: str | dt.date, files: int | None = None) -> None:
-    """Replace one day's folder. A day without rows is cleared, too."""
+    """Replace one day's folder. A day without rows is cleared, too; rows of another day raise."""
+    if DAY in df.columns:
+        same = F.col(DAY).cast("date") == F.lit(as_date(day))
+        df = df.where(F.assert_true(same, F.lit(f"a row is not of {day}")).isNull())
     write_parquet(df.drop(DAY), f"{root}/{DAY}={as_date(day)}", files)
 
 

@@ -18,10 +18,22 @@ def with_file_count(df: DataFrame, files: int | None) -> DataFrame:
     return df.repartition(files) if files else df.hint("rebalance")
 
 
+# Moments keep their microseconds; Spark's own formats stop at three digits.
+_MOMENTS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+# A null in a frame of one column would be an empty line, which readers skip; a second column prevents that.
+FILLER = "_filler"
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """CSV with header in the form that ``read_csv`` reads back value for value."""
-    df.write.mode("overwrite").options(
+    """CSV with header in the form that ``read_csv`` reads back value for value, in files cut to size."""
+    if len(df.columns) == 1:
+        df = df.withColumn(FILLER, F.lit(1))
+    with_file_count(df, None).write.mode("overwrite").options(
         header=True,
+        **_MOMENTS,
         sep=sep,
         quote='"',
         escape='"',
@@ -32,18 +44,20 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
 
 def write_json(df: DataFrame, path: str) -> None:
     """One JSON object per line; null fields are written, so every line has every field."""
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    df.write.mode("overwrite").options(ignoreNullFields=False, **_MOMENTS).json(path)
 
 
 def as_array_documents(df: DataFrame, columns: Sequence[str], per_document: int = 1000) -> DataFrame:
     """JSON array documents of at most ``per_document`` objects, or bare values for one column.
 
     Rows are numbered within their partition and cut into runs, so a document never outgrows
-    its limit, whatever the data holds. Pass a scan: a task that is repeated after a lost
+    its limit, whatever the data holds. Documents of one item need no shuffle. Pass a scan: a task that is repeated after a lost
     executor numbers the rows of a file as before, but not those of a shuffle.
     """
     item = F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
-    run = F.floor(F.monotonically_increasing_id() / per_document)
+    if per_document == 1:
+        return df.select(F.to_json(F.array(item)).alias("value"))
+    run = F.expr(f"monotonically_increasing_id() DIV {per_document}")
     grouped = df.select(item.alias("item"), run.alias("run")).groupBy("run")
     return grouped.agg(F.to_json(F.collect_list("item")).alias("value")).select("value")
 

@@ -23,6 +23,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def publish(spark: SparkSession, source: str, target: str) -> None:
+    """Move a finished file to its place. If another writer was first, its file stays or is replaced whole."""
+    target_path, fs = _file_system(spark, target)
+    fs.mkdirs(target_path.getParent())
+    source_path, _ = _file_system(spark, source)
+    if not fs.rename(source_path, target_path):
+        if not fs.exists(target_path):
+            raise OSError(f"could not move {source} to {target}")
+        fs.delete(source_path, False)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    hadoop_path, fs = _file_system(spark, folder)
+    fs.delete(hadoop_path, True)
+
+
 def make_temporary(spark: SparkSession, folder: str) -> None:
     """Create a folder that goes away with the application."""
     hadoop_path, fs = _file_system(spark, folder)

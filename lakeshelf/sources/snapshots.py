@@ -7,18 +7,22 @@ an empty text is a pair of quotes.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeshelf.functions import days_between
+from lakeshelf.sinks.files import FILLER
 from lakeshelf.sources.files import exists, list_names
 from lakeshelf.sources.layout import day_path, days_glob
 
-# A marker no field can hold: fields equal to it become null, and with it the reader tells an
-# empty field (null) from an empty text in quotes.
-NO_VALUE = "\u0001"
+
+def header_of(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
+    """Column names of a CSV file or folder; only a first line is read."""
+    return spark.read.options(header=True, sep=sep, quote='"', escape='"').csv(path).columns
 
 
 def read_csv(
@@ -27,21 +31,35 @@ def read_csv(
     schema: StructType | None = None,
     sep: str = ",",
     multi_line: bool = True,
+    by_name: bool = False,
 ) -> DataFrame:
     """CSV with a header line.
 
     Values that do not fit the declared schema raise instead of turning into nulls, and so does
-    a header with other names. Without a schema the types are inferred, which costs another
+    a header with other names. With ``by_name`` the header may hold further columns, in any
+    order; they are not read. Without a schema the types are inferred, which costs another
     pass. ``multi_line`` is needed for
     values with line breaks; each file is then read by one task, so land many files
     (``write_csv`` does). Switch it off for tables without free text to split large files.
     """
+    # With a marker for null, the reader tells an empty field (null) from an empty text in
+    # quotes. Fields equal to the marker become null, so it is a new random text each time.
+    marker = f"\u0001{uuid.uuid4().hex}"
     reader = spark.read.options(
-        header=True, sep=sep, quote='"', escape='"', multiLine=multi_line, nullValue=NO_VALUE
+        header=True, sep=sep, quote='"', escape='"', multiLine=multi_line, nullValue=marker
     )
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.options(mode="FAILFAST", enforceSchema=False).schema(schema).csv(path)
+        return reader.option("inferSchema", True).csv(path).drop(FILLER)
+    whole = schema
+    if by_name or len(schema) == 1:
+        names = header_of(spark, path, sep)
+        absent = [n for n in schema.names if n not in names]
+        if by_name and names and absent:
+            raise ValueError(f"{path} has no column {', '.join(absent)}")
+        if by_name or names == [*schema.names, FILLER]:
+            whole = StructType([schema[n] if n in schema.names else StructField(n, StringType()) for n in names]) if names else schema
+    rows = reader.options(mode="FAILFAST", enforceSchema=False).schema(whole).csv(path)
+    return rows.select(*schema.names)
 
 
 def read_snapshot(
@@ -57,6 +75,21 @@ def read_snapshot(
     return read_csv(spark, day_path(root, table, day), schema, sep, multi_line)
 
 
+def read_snapshots(
+    spark: SparkSession,
+    root: str,
+    tables: Mapping[str, StructType],
+    day: str | dt.date,
+    sep: str = ",",
+    multi_line: bool = True,
+) -> dict[str, DataFrame]:
+    """Named frames of the tables landed on one day, with the declared columns of each."""
+    return {
+        table: read_csv(spark, day_path(root, table, day), schema, sep, multi_line, by_name=True)
+        for table, schema in tables.items()
+    }
+
+
 def read_history(
     spark: SparkSession,
     root: str,

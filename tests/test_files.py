@@ -1,5 +1,6 @@
 """CSV, JSON and Parquet sources and sinks, with the traps of each format."""
 
+import datetime as dt
 import os
 from collections import Counter
 
@@ -7,12 +8,13 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from lakeshelf.functions import cents, from_cents, money
 from lakeshelf.schemas import OUT_OF_STOCK, SHOP
 from lakeshelf.session import scratch_path
 from lakeshelf.sinks.files import as_array_documents, write_csv, write_documents, write_json, write_parquet
 from lakeshelf.sources.layout import day_path, days_glob
 from lakeshelf.sources.payloads import read_json_numbers, read_json_objects
-from lakeshelf.sources.snapshots import landed_days, read_csv, read_history, read_snapshot
+from lakeshelf.sources.snapshots import landed_days, read_csv, read_history, read_snapshot, read_snapshots
 from lakeshelf.sources.tables import folder_tables
 
 AISLES = SHOP["aisles"]
@@ -152,3 +154,42 @@ def test_parquet_file_count(spark):
 
 def test_folder_tables(spark):
     assert "lineitem" in folder_tables(spark, "/root/testdata/sf0.001")
+
+
+def test_moments_keep_their_microseconds(spark):
+    schema = "z timestamp, n timestamp_ntz"
+    moments = [(dt.datetime(2021, 1, 1, 0, 0, 0, 900), dt.datetime(2021, 1, 1, 0, 0, 0, 100)), (None, dt.datetime(1, 1, 1))]
+    df = spark.createDataFrame(moments, schema)
+    write_csv(df, path := scratch_path(spark, "m.csv"))
+    assert read_csv(spark, path, df.schema).exceptAll(df).isEmpty() and read_csv(spark, path, df.schema).count() == 2
+    write_json(df, path := scratch_path(spark, "m.json"))
+    assert read_json_objects(spark, path, df.schema).exceptAll(df).isEmpty()
+
+
+def test_null_rows_of_one_column_come_back(spark):
+    df = spark.createDataFrame([(1,), (None,), (2,), (None,)], OUT_OF_STOCK)
+    write_csv(df, path := scratch_path(spark, "one.csv"))
+    assert rows(read_csv(spark, path, OUT_OF_STOCK)) == rows(df)
+    assert rows(read_csv(spark, path)) == rows(df)
+
+
+def test_no_text_stands_for_null(spark):
+    values = [(1, "\u0001"), (2, "NULL"), (3, "\\N"), (4, None), (5, "")]
+    write_csv(spark.createDataFrame(values, AISLES), path := scratch_path(spark, "marker.csv"))
+    assert rows(read_csv(spark, path, AISLES)) == Counter(values)
+
+
+def test_columns_by_name(spark, tmp_path):
+    put(tmp_path, "aisles/2021-01-01/aisles.csv", 'extra,aisle,more,aisle_id\n"a,b",x,,7\n,"",2,\n')
+    (df,) = read_snapshots(spark, str(tmp_path), {"aisles": AISLES}, "2021-01-01").values()
+    assert rows(df) == Counter([(7, "x"), (None, "")])
+    with pytest.raises(ValueError, match="department"):
+        read_snapshots(spark, str(tmp_path), {"aisles": SHOP["departments"]}, "2021-01-01")
+
+
+def test_money_and_cents_round_alike(spark):
+    for kind in ("double", "decimal(10,3)", "string"):
+        df = spark.createDataFrame([("0.125",), ("1.005",), ("-0.125",), ("2.675",)], "v string").select(F.col("v").cast(kind))
+        got = df.select(money(F.col("v")).alias("m"), from_cents(cents(F.col("v"))).cast("decimal(18,2)").alias("c")).collect()
+        assert all(r.m == r.c for r in got)
+        assert [str(r.m) for r in got] == ["0.13", "1.01", "-0.13", "2.68"]

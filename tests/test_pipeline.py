@@ -3,12 +3,14 @@
 import datetime as dt
 import os
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lakeshelf import schemas
+from lakeshelf.functions import days_between
 from lakeshelf.operators.calendar import build_dates, date_spine, days_without_rows, new_dates, rows_of_days
 from lakeshelf.operators.quality import violations
 from lakeshelf.plans import medallion, star
@@ -202,3 +204,73 @@ def test_any_source_lands_and_becomes_silver(spark, layout):
     assert {t: df.count() for t, df in silver.items()} == {t: len(set(DIMENSIONS[t])) for t in tables}
     inferred = medallion.tables_to_silver(spark, other, {"sales_by_store": None}, DAYS[0], sep=",")
     assert [tuple(r) for r in inferred["sales_by_store"].collect()] == [(1, dt.date(2021, 1, 1))]
+
+
+def at_once(*jobs):
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for job in [pool.submit(j) for j in jobs]:
+            job.result()
+
+
+def land_payload(spark, layout, day, products):
+    df = spark.createDataFrame([(p,) for p in products], schemas.OUT_OF_STOCK)
+    write_json(df, day_path(layout.bronze, "out-of-stock", day, "json"))
+
+
+def test_orders_and_payload_of_one_day_side_by_side(spark, layout, source):
+    for n in range(3):
+        own = Layout(layout.bronze, f"{layout.silver}-{n}", f"{layout.gold}-{n}")
+        land_payload(spark, own, DAYS[0], [3, 4])
+        at_once(
+            lambda: medallion.run_day(spark, own, DAYS[0], source), lambda: medallion.run_payload_day(spark, own, DAYS[0])
+        )
+        assert dates(spark, own) == [(dt.date(2021, 1, 1), 5, False)]
+        assert facts(spark, own) == Counter(f for f in FACTS if f[0] == DAYS[0])
+        assert facts(spark, own, "fact_oos") == Counter([(DAYS[0], 3), (DAYS[0], 4)])
+
+
+def test_six_days_side_by_side(spark, layout):
+    days = [f"2021-02-0{n}" for n in range(1, 7)]
+    for n, day in enumerate(days):
+        land_payload(spark, layout, day, [n])
+    at_once(*(lambda day=day: medallion.run_payload_day(spark, layout, day) for day in days))
+    calendar = spark.read.parquet(layout.gold_table("dim_dates"))
+    assert calendar.count() == 6 and violations(calendar, GOLD_RULES["dim_dates"]).count() == 0
+    assert facts(spark, layout, "fact_oos") == Counter((day, n) for n, day in enumerate(days))
+
+
+def test_ranges_side_by_side(spark, layout):
+    days = [f"2021-02-0{n}" for n in range(1, 7)]
+    for n, day in enumerate(days):
+        land_payload(spark, layout, day, [n])
+    spans = [(days[0], days[3]), (days[2], days[5])]
+    at_once(*(lambda a=a, b=b: medallion.ensure_dates(spark, layout, days_between(a, b)) for a, b in spans))
+    assert len(dates(spark, layout)) == 6
+
+
+@pytest.mark.parametrize(
+    "text, options",
+    [
+        ('[\n  {"product_id": 5},\n  {"product_id": 5}\n]\n', {"multi_line": True}),
+        ("[5, 5]\n", {"form": "numbers"}),
+        ("[\n 5,\n 5]\n", {"form": "numbers", "multi_line": True}),
+    ],
+)
+def test_payload_forms(spark, layout, text, options):
+    path = day_path(layout.bronze, "out-of-stock", DAYS[0], "json").removeprefix("file:")
+    os.makedirs(os.path.dirname(path))
+    with open(path, "w") as out:
+        out.write(text)
+    medallion.run_payload_day(spark, layout, DAYS[0], **options)
+    assert facts(spark, layout, "fact_oos") == Counter([(DAYS[0], 5)])
+    medallion.backfill_out_of_stock(spark, layout, DAYS[0], DAYS[0], **options)
+    assert facts(spark, layout, "fact_oos") == Counter([(DAYS[0], 5)])
+
+
+def test_reload_refuses_rows_of_another_day(spark):
+    root = scratch_path(spark, "fact")
+    df = spark.createDataFrame([(dt.date(2021, 1, 2), 1)], "report_date date, n int")
+    with pytest.raises(Exception, match="a row is not of 2021-01-01"):
+        reload_day(df, root, DAYS[0])
+    reload_day(df, root, DAYS[1])
+    assert [str(r.report_date) for r in spark.read.parquet(root).collect()] == [DAYS[1]]

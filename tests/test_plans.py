@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from lakeshelf.operators.aggregates import carry_up, count_rows
-from lakeshelf.operators.joins import broadcast_if_small, left_outer, star_sum, without_match
+from lakeshelf.operators.joins import left_outer, star_sum, without_match
 from lakeshelf.operators.ranking import leaders_per_group, top_k
+from lakeshelf.sinks.files import as_array_documents
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -74,24 +75,64 @@ def test_scans_are_pruned(spark):
     assert "LeftAnti" in plan
 
 
-def test_broadcast_only_what_was_measured_small(spark):
-    dim = spark.range(100).withColumn("text", F.repeat(F.lit("x"), 1000))
-    hinted = [d._jdf.queryExecution().logical().toString() for d in broadcast_if_small(dim, dim.limit(5), max_rows=50)]
-    assert ["broadcast" in h for h in hinted] == [False, True]
-    (heavy,) = broadcast_if_small(dim, max_bytes=50_000)
-    assert "broadcast" not in heavy._jdf.queryExecution().logical().toString()
-    (empty,) = broadcast_if_small(dim.limit(0))
-    assert "broadcast" in empty._jdf.queryExecution().logical().toString()
+def test_star_sum_starts_no_job_while_it_is_built(spark):
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        df = registry.queries()["star_join_broadcast"](spark, SF_DIR)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setJobGroup("default", "")
+    assert "BroadcastHashJoin" in final_plan(df)
 
 
-def test_star_sum_with_a_dimension_too_large_to_broadcast(spark, monkeypatch):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_star_sum_by_broadcast_or_shuffle(spark, threshold):
     fact = spark.range(3000).select((F.col("id") % 40).alias("k"), F.lit(1).alias("n"))
     dim = spark.range(30).select(F.col("id").alias("k"), (F.col("id") % 3).alias("area"))
-    want = {0: 750, 1: 750, 2: 750}
-    for rows in (1000, 10):
-        monkeypatch.setattr("lakeshelf.operators.joins.broadcast_if_small.__kwdefaults__", {"max_rows": rows, "max_bytes": 10**6})
+    with settings(spark, autoBroadcastJoinThreshold=threshold, adaptive__autoBroadcastJoinThreshold=threshold):
         got = star_sum(fact, [(dim, "k", ["area"])], "k", ["n"], ["area"])
-        assert {r["area"]: r["n"] for r in got.collect()} == want
+        assert {r["area"]: r["n"] for r in got.collect()} == {0: 750, 1: 750, 2: 750}
+
+
+@pytest.mark.parametrize("key", sorted(registry.own_queries()))
+def test_no_fixed_number_of_tasks(spark, key):
+    """What moves rows lets their number decide how many tasks there are."""
+    plan = registry.queries()[key](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" not in plan and "Coalesce " not in plan
+
+
+def test_left_outer_reads_the_left_side_once(spark):
+    with settings(spark, autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1"):
+        plan = final_plan(registry.queries()["left_outer_keep_nulls"](spark, SF_DIR))
+    assert "ReusedExchange" in plan
+    # One scan of the rows with a key; the other looks for rows without one only.
+    assert len(re.findall(r"PushedFilters: \[IsNotNull\(o_orderkey\)\]", plan)) == 1
+    assert len(re.findall(r"PushedFilters: \[IsNull\(o_orderkey\)\]", plan)) == 1
+
+
+def test_left_outer_with_null_keys(spark):
+    left = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c"), (None, "b")], "k int, x string")
+    right = spark.createDataFrame([(1, 5), (1, 6), (None, 7)], "r int, y int")
+    got = Counter(map(tuple, left_outer(left, right, "k", "r").collect()))
+    assert got == Counter([(1, "a", 1, 5), (1, "a", 1, 6), (2, "c", None, None)] + [(None, "b", None, None)] * 2)
+
+
+def test_question_3_has_fewer_shuffles(spark):
+    with settings(spark, autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1"):
+        plan = final_plan(registry.queries()["rental_top_category_by_amount"](spark, SF_DIR))
+    assert plan.count("Exchange hashpartitioning") < 19
+
+
+def test_documents_of_one_row_need_no_shuffle(spark):
+    df = spark.range(10).withColumnRenamed("id", "n")
+    plan = as_array_documents(df, ["n"], per_document=1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_top_k_refuses_floating_point(spark, kind):
+    with pytest.raises(TypeError):
+        top_k(spark.range(3).select(F.col("id").cast(kind).alias("v")), "v", 2)
 
 
 # --- hot keys -------------------------------------------------------------------------------

@@ -2,8 +2,6 @@
 
 import types
 
-import pytest
-
 from lakeshelf.session import scratch_path
 
 
@@ -13,13 +11,14 @@ def test_scratch_lies_in_the_folder_the_session_names(spark):
     assert first.startswith(spark.conf.get("spark.checkpoint.dir") + "/")
 
 
-def test_cluster_without_a_shared_folder_is_refused():
-    cluster = types.SimpleNamespace(
-        conf=types.SimpleNamespace(get=lambda key, default: default),
-        sparkContext=types.SimpleNamespace(master="yarn"),
-    )
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(cluster, "a")
+def test_one_rule_for_any_master(monkeypatch):
+    """The named folder, else the warehouse; neither the master nor a machine-local folder plays a part."""
+    monkeypatch.setattr("lakeshelf.session.make_temporary", lambda spark, folder: None)
+    values = {"spark.sql.warehouse.dir": "hdfs:///warehouse"}
+    cluster = types.SimpleNamespace(conf=types.SimpleNamespace(get=lambda key, *default: values.get(key, *default)))
+    assert scratch_path(cluster, "a").startswith("hdfs:///warehouse/lakeshelf-")
+    values["spark.checkpoint.dir"] = "hdfs:///shared/"
+    assert scratch_path(cluster, "a").startswith("hdfs:///shared/lakeshelf-")
 
 
 def test_defaults(spark):
