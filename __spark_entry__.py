@@ -995,7 +995,8 @@ def own_queries() -> dict[str, Query]:
 def _corpus(attribute: str) -> dict:
     """What the corpus subpackage and the corpus pipeline add, where they are installed."""
     found = {}
-    if importlib.util.find_spec("lakeshelf.llm"):
+    subpackage = importlib.util.find_spec("lakeshelf.llm")
+    if subpackage and subpackage.origin:  # an empty folder has none
         found |= getattr(importlib.import_module("lakeshelf.llm.queries"), attribute)
         if importlib.util.find_spec("corpus_pipeline"):
             pipeline = importlib.import_module("corpus_pipeline")
