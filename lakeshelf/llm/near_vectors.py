@@ -138,46 +138,56 @@ def _compare(batches, hashing: Hashing, cosine: float) -> Iterator[pa.RecordBatc
         return [(int(a), int(b)) for a, b in zip(starts[:n], ends[:n])], table.slice(int(starts[n])) if n < len(starts) else table.slice(len(table))
 
     def judged(table: pa.Table, runs: list) -> pa.RecordBatch:
-        out: list[tuple] = []
         node, chunk, copies, low, high, order = (table.column(c).to_numpy() for c in ("node", "chunk", "copies", "low", "high", "table"))
         vectors = table.column("embedding").combine_chunks()
-        sizes = np.asarray(vectors.value_lengths())
         labels = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
-        for a, b in runs:
-            if b - a < 2:
-                continue
-            if (sizes[a:b] != sizes[a]).any():
-                continue  # a clash of hashes only: codes depend on the length
-            x = matrix(vectors.slice(a, b - a))
+        pairs = [np.zeros((2, 0), np.int64)]
+        for rows in _by_length(vectors):
+            x = matrix(vectors.take(pa.array(rows)))
             norm = np.sqrt((x * x).sum(axis=1))
-            near = (x @ x.T) / (norm[:, None] * norm) >= cosine
-            near &= labels[a:b, None] == labels[a:b]
-            if low[a] == high[a]:
-                i, j = np.nonzero(np.triu(near, 1))
-            else:
-                i, j = np.nonzero(near & ((chunk[a:b] == low[a])[:, None] & (chunk[a:b] == high[a])))
-            if not len(i):
-                continue
-            some, at = np.unique(np.append(i, j), return_inverse=True)
-            codes = hashing.codes(x[some])[:, : order[a]]
+            place = np.full(len(table), -1)
+            place[rows] = np.arange(len(rows))
+            # Runs of one size are compared together; one with vectors of several lengths is a clash of hashes only.
+            by_size: dict[int, list[int]] = {}
+            for first, end in runs:
+                if end - first > 1 and place[first] >= 0 and (place[first:end] >= 0).all():
+                    by_size.setdefault(end - first, []).append(first)
+            for size, firsts in by_size.items():
+                at_once = max(1, (1 << 20) // (size * size))
+                for cut in range(0, len(firsts), at_once):
+                    at = np.array(firsts[cut : cut + at_once])[:, None] + np.arange(size)
+                    own = place[at]
+                    near = np.matmul(x[own], x[own].transpose(0, 2, 1)) >= cosine * (norm[own][:, :, None] * norm[own][:, None, :])
+                    run, i, j = np.nonzero(near & np.triu(np.ones((size, size), bool), 1))
+                    pairs.append(np.stack([at[run, i], at[run, j]]))
+        i, j = np.concatenate(pairs, axis=1)
+        # In a block of two chunks, pairs within a chunk belong to other blocks.
+        keep = (labels[i] == labels[j]) & ((low[i] == high[i]) | (chunk[i] != chunk[j]))
+        i, j = i[keep], j[keep]
+        if len(i):
+            some, of = np.unique(np.append(i, j), return_inverse=True)
+            codes = np.zeros((len(some), hashing.tables), np.uint64)
+            for rows in _by_length(vectors.take(pa.array(some))):
+                codes[rows] = hashing.codes(matrix(vectors.take(pa.array(some[rows]))))
             fresh = np.ones(len(i), bool)
-            for low_pair in range(0, len(i), 1 << 16):
-                cut = slice(low_pair, low_pair + (1 << 16))
-                fresh[cut] = ~(codes[at[: len(i)][cut]] == codes[at[len(i) :][cut]]).any(axis=1)
+            for cut in range(0, len(i), 1 << 14):
+                part = slice(cut, cut + (1 << 14))
+                same = codes[of[: len(i)][part]] == codes[of[len(i) :][part]]
+                fresh[part] = ~(same & (np.arange(hashing.tables) < order[i[part], None])).any(axis=1)
             i, j = i[fresh], j[fresh]
-            links = np.bincount(i, copies[a:b][j], b - a) + np.bincount(j, copies[a:b][i], b - a)
-            root = np.arange(b - a)
-            while True:  # smallest position reachable inside the block
-                new = root.copy()
-                np.minimum.at(new, i, root[j])
-                np.minimum.at(new, j, root[i])
-                new = new[new]
-                if (new == root).all():
-                    break
-                root = new
-            for r in np.flatnonzero(links):
-                out.append((int(node[a + r]), int(links[r]), int(node[a + root[r]])))
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ((), (), ()))], ["node", "links", "other"])
+        links = np.bincount(i, copies[j], len(table)) + np.bincount(j, copies[i], len(table))
+        root = np.arange(len(table))
+        while True:  # smallest row reachable inside the block
+            new = root.copy()
+            np.minimum.at(new, i, root[j])
+            np.minimum.at(new, j, root[i])
+            new = new[new]
+            if (new == root).all():
+                break
+            root = new
+        found = np.flatnonzero(links)
+        columns = node[found], links[found].astype(np.int64), node[root[found]]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "links", "other"])
 
     for batch in batches:
         held.append(batch)
