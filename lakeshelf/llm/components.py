@@ -9,7 +9,7 @@ is reduced map-side to its minimum, and the join with it is one that Spark can s
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeshelf.llm.stored import stored
@@ -20,15 +20,17 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u", F.xxhash64("u").alias("_hash")).agg(F.min("v").alias("least")).drop("_hash")
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """``edges`` as a table, with a count and a checksum taken while it was written."""
+    seen = Observation()
+    table = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("sum")), "edges")
+    return table, (seen.get["n"], seen.get["sum"])
 
 
 def components(links: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(id, component) for every id in ``links`` (a, b): the smallest id it is connected with."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
-    edges = stored(edges, "edges")
-    state = _state(edges)
+    edges, state = _written(edges)
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
@@ -36,8 +38,8 @@ def components(links: DataFrame, max_rounds: int = 64) -> DataFrame:
         hung = large.join(_least(large), "u")
         small = hung.where("v > least").select(F.col("v").alias("u"), F.col("least").alias("v"))
         small = small.unionByName(hung.select("u", F.col("least").alias("v"))).distinct()
-        edges = stored(small, "edges")
-        before, state = state, _state(edges)
+        before = state
+        edges, state = _written(small)
         if state == before:
             break
     else:
