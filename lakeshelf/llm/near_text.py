@@ -4,14 +4,15 @@ A document is the set of its distinct five-word shingles. Documents with equal s
 A node's signature has 128 minima; each of 32 orders starts with its own four of them and goes on
 with the next ones. Nodes are sorted along every order (a range partitioning over the whole key, so
 that even a crowded region is spread over tasks). Neighbours in an order that share at least the
-first four values are candidates, up to ``NEAR`` on either side: where a region is crowded, these are the
-ones with the longest common prefixes, which makes the depth adapt to the region.
+first four values are candidates, up to ``NEAR`` on either side; where more share them, only the nearest one is, which has the
+longest common prefix, so that the depth adapts to the region.
 
 A pair at similarity 0.75 stays unseen in all orders with a chance of 5e-6. Candidates are
 confirmed on full sets: first each node's most frequent partners; then of the other candidates
 all those that are not yet in one component. What joins no two components cannot change the result.
-Then nodes whose region was crowded are sorted again by component, and their nearest neighbours in
-other components are confirmed as well, until that finds no link.
+Then nodes whose region was crowded are compared by all their minima with many more neighbours, as far
+as these are in other components; likely pairs are confirmed, the likeliest of two components first,
+until none is left that could join two components.
 
 Defined cases: null texts and texts without words have an empty set and are linked with nothing;
 texts of fewer than five words are one shingle; a row with a null id is linked with nothing, kept, and has no
@@ -39,6 +40,9 @@ ORDERS, PREFIX, DEPTH = 32, 4, 12
 NEAR = 6
 #: Partners per node that are confirmed first.
 FIRST = 2
+#: In crowded regions: nodes before a node that are compared by their minima, equal minima of 128 that
+#: call for a full comparison (0.6, four standard deviations below 0.75), and pairs of two components per round at first.
+REACH, LIKELY, MOST = 256, 77, 8
 _U = np.uint64
 _MULTIPLIERS = np.random.default_rng(20240229).integers(0, 2**63, (2, ORDERS * PREFIX), dtype=np.uint64) * _U(2) + _U(1)
 
@@ -91,11 +95,11 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(read, "doc_id bigint, n_shingles bigint, digest binary, signature binary")
 
 
-def _sorted_orders(sets: DataFrame, *more: str) -> DataFrame:
-    """Each node once per order, sorted along the orders over all partitions."""
+def _sorted_orders(sets: DataFrame, depth: int, *more: str) -> DataFrame:
+    """Each node once per order, sorted along the orders (by ``depth`` values) over all partitions."""
     twice = F.concat("signature", "signature")
     tree = sets.select("node", *more, "signature", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("tree"))
-    key = F.substring(twice, F.col("tree") * (2 * PREFIX) + 1, F.lit(2 * DEPTH))
+    key = F.substring(twice, F.col("tree") * (2 * PREFIX) + 1, F.lit(2 * depth))
     rows = tree.select(F.col("tree").cast("int").alias("tree"), key.alias("key"), "node", *more)
     return rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
 
@@ -107,7 +111,8 @@ def _prefix_length(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def neighbours(sets: DataFrame) -> DataFrame:
     """(a, b, depth, crowded): candidate pairs of nodes, a < b, once per order that finds them.
 
-    ``crowded`` tells that further nodes with the same first values lie behind the farthest neighbour.
+    ``crowded`` tells that a node has more than ``NEAR`` others before it that share the first values; it is paired with the nearest
+    of them only, and left to ``foreign_neighbours`` otherwise.
     """
 
     def read(batches) -> Iterator[pa.RecordBatch]:
@@ -123,16 +128,17 @@ def neighbours(sets: DataFrame) -> DataFrame:
                 tree, key, node = (np.concatenate(x) for x in zip(held, (tree, key, node)))
             old = len(tree) - new
             out = []
-            for back in range(1, NEAR + 2):
+            many = np.zeros(len(tree), bool)
+            for back in range(NEAR + 1, 0, -1):
                 at = np.arange(max(old, back), len(tree))
                 depth = np.where(tree[at] == tree[at - back], _prefix_length(key[at], key[at - back]), 0)
-                hit = depth >= PREFIX
-                if back <= NEAR:
-                    at, depth = at[hit], depth[hit]
-                    out.append((node[at], node[at - back], depth, np.zeros(len(at), bool)))
-                else:  # only says that there are more
-                    at = at[hit]
-                    out.append((node[at], node[at - 1], depth[hit], np.ones(len(at), bool)))
+                at, depth = at[depth >= PREFIX], depth[depth >= PREFIX]
+                if back > NEAR:
+                    many[at] = True
+                    continue
+                own = ~many[at] | (back == 1)  # of a crowded region only the nearest one
+                at, depth = at[own], depth[own]
+                out.append((node[at], node[at - back], depth, many[at]))
             a, b, depth, crowded = (np.concatenate(x) for x in zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(depth.astype(np.int32)), pa.array(crowded)],
@@ -140,28 +146,53 @@ def neighbours(sets: DataFrame) -> DataFrame:
             )
             held = tree[-NEAR - 1 :], key[-NEAR - 1 :], node[-NEAR - 1 :]
 
-    return _sorted_orders(sets).mapInArrow(read, "a bigint, b bigint, depth int, crowded boolean").where("a < b")
+    return _sorted_orders(sets, DEPTH).mapInArrow(read, "a bigint, b bigint, depth int, crowded boolean").where("a < b")
 
 
 def foreign_neighbours(sets: DataFrame) -> DataFrame:
-    """(a, b): for each node (with its ``component``) in each order the nearest nodes before it that are in another component."""
+    """(a, b): pairs of nodes of different ``component`` that look similar by all their minima.
+
+    In each order a node is compared with the ``REACH`` nodes before it that share the first
+    values. Of two components the ``MOST`` most similar pairs that a batch of nodes holds are
+    returned.
+    """
 
     def read(batches) -> Iterator[pa.RecordBatch]:
-        last: list[tuple] = []  # the latest nodes of up to NEAR different components in this region
+        held = None
         for batch in batches:
-            out_a, out_b = [], []
-            for tree, key, node, component in zip(*(c.to_pylist() for c in batch.columns)):
-                region = (tree, key[: 2 * PREFIX])
-                if last and last[-1][0] != region:
-                    last = []
-                for _, other, its in last:
-                    if its != component:
-                        out_a.append(min(node, other))
-                        out_b.append(max(node, other))
-                last = [x for x in last if x[2] != component][-NEAR:] + [(region, node, component)]
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
-
-    return _sorted_orders(sets, "component").mapInArrow(read, "a bigint, b bigint").distinct()
+            if not batch.num_rows:
+                continue
+            tree, node, component = (batch.column(i).to_numpy() for i in (0, 2, 3))
+            key = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").astype(np.uint16).reshape(-1, ORDERS * PREFIX)
+            new = len(tree)
+            if held is not None:
+                tree, key, node, component = (np.concatenate(x) for x in zip(held, (tree, key, node, component)))
+            old = len(tree) - new
+            fresh = np.ones(len(tree), bool)
+            fresh[1:] = (tree[1:] != tree[:-1]) | (key[1:, :PREFIX] != key[:-1, :PREFIX]).any(axis=1)
+            region = np.cumsum(fresh)
+            found = []
+            for back in range(1, min(REACH, len(tree) - 1) + 1):
+                at = np.arange(max(old, back), len(tree))
+                at = at[(region[at] == region[at - back]) & (component[at] != component[at - back])]
+                if len(at):
+                    same = (key[at] == key[at - back]).sum(axis=1)
+                    likely = same >= LIKELY
+                    found.append((at[likely], at[likely] - back, same[likely]))
+            i, j, same = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+            ends = np.sort(np.stack([component[i], component[j]]), axis=0)
+            order = np.lexsort((-same, ends[1], ends[0], region[i]))
+            i, j, ends, where = i[order], j[order], ends[:, order], region[i[order]]
+            change = np.ones(len(i), bool)
+            change[1:] = (where[1:] != where[:-1]) | (ends[:, 1:] != ends[:, :-1]).any(axis=0)
+            starts = np.flatnonzero(change)
+            sizes = np.diff(np.append(starts, len(i)))
+            rank = np.arange(len(i)) - np.repeat(starts, sizes)
+            i, j = i[rank < MOST], j[rank < MOST]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["a", "b"])
+            held = tree[-REACH:], key[-REACH:], node[-REACH:], component[-REACH:]
+
+    return _sorted_orders(sets, ORDERS * PREFIX, "component").mapInArrow(read, "a bigint, b bigint").distinct()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -182,15 +213,25 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
 
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    # Always by shuffles: the same plan, and the same growth, at every size.
+    rows = pairs.select("a", "b").hint("merge").join(left, "a").join(right.hint("merge"), "b").select("a", "b", "text_a", "text_b")
     return rows.mapInArrow(read, "a bigint, b bigint")
 
 
-def _between_components(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components of ``found`` (id, component)."""
+def _by_component(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """``pairs`` with the components of their ends in ``found`` (id, component); a node that is not there is its own."""
     a, b = (found.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
     rows = pairs.join(a, "a", "left").join(b, "b", "left")
-    return rows.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    return rows.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` after adding links between its components: only these few are contracted again."""
+    joined = components(_by_component(links, found).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    new = joined.select(F.col("id").alias("component"), F.col("component").alias("_root"))
+    old = found.join(new, "component", "left").select("id", F.coalesce("_root", "component").alias("component"))
+    alone = joined.join(found, "id", "left_anti").select("id", "component")
+    return stored(old.unionByName(alone), "components")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -204,26 +245,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     seen = neighbours(sets).groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders"), F.max("depth").alias("depth"), F.max("crowded").alias("crowded"))
     pairs = stored(seen, "pairs")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stored(docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi"), "texts")
+    texts = stored(docs.select("doc_id", "text").join(nodes.hint("merge"), "doc_id", "left_semi"), "texts")
     best = Window.partitionBy("at").orderBy(F.desc("orders"), F.desc("depth"), "a", "b")
     ranked = pairs.select("*", F.explode(F.array("a", "b")).alias("at")).withColumn("place", F.row_number().over(best))
     first = stored(ranked.where(F.col("place") <= FIRST).select("a", "b").distinct(), "first")
-    links = stored(confirmed(first, texts), "links")
-    found = components(links)
-    others = stored(_between_components(pairs.join(first, ["a", "b"], "left_anti"), found), "others")
-    links = stored(links.unionByName(confirmed(others, texts)), "links")
-    found = stored(components(links), "components")
+    found = stored(components(stored(confirmed(first, texts), "links")), "components")
+    others = _by_component(pairs.join(first, ["a", "b"], "left_anti"), found).where("ca != cb").select("a", "b")
+    others = stored(others, "others")
     tried = first.unionByName(others)
+    new = stored(confirmed(others, texts), "links")
+    if not new.isEmpty():
+        found = _merged(found, new)
     crowded = stored(pairs.where("crowded").select(F.explode(F.array("a", "b")).alias("node")).distinct(), "crowded")
     while not crowded.isEmpty():
         rest = sets.join(crowded, "node").join(found.withColumnRenamed("id", "node"), "node", "left")
         rest = rest.select("node", "signature", F.coalesce("component", "node").alias("component"))
         fresh = stored(foreign_neighbours(rest).join(tried, ["a", "b"], "left_anti"), "fresh")
-        new = stored(confirmed(fresh, texts), "new")
+        new = stored(confirmed(fresh, texts), "links")
+        tried = tried.unionByName(fresh)
         if new.isEmpty():
             break
-        tried, links = tried.unionByName(fresh), links.unionByName(new)
-        found = stored(components(links), "components")
+        found = _merged(found, new)
     classes = sets.join(found.withColumnRenamed("id", "node"), "node", "left")
     classes = stored(classes.select("digest", F.coalesce("component", "node").alias("_class")), "classes")
     # Copies of one set may be a third of the rows: an outer join of two shuffled inputs can be split.

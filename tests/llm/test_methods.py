@@ -238,6 +238,7 @@ def test_hot_group_of_near_copies(spark):
 def test_crowded_regions_are_searched_again(spark, monkeypatch):
     """With one neighbour a side only, the later rounds still find what joins components."""
     monkeypatch.setattr(near_text, "NEAR", 1)
+    monkeypatch.setattr(near_text, "MOST", 2)
     rnd = random.Random(6)
     shared = [f"s{i}" for i in range(60)]
     texts = []
