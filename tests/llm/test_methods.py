@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakeshelf.llm import language, mixing, near_text, near_vectors, quality, secret_scan, stored, vector_search
+from lakeshelf.llm import components as module
 from lakeshelf.llm.components import components
 from lakeshelf.llm.words import NOT_ALNUM, Words, window_hashes
 
@@ -81,6 +82,14 @@ def test_components_of_random_graphs(spark, seed):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_in_rounds(spark, monkeypatch):
+    """Tasks that contract nothing leave all work to the rounds."""
+    monkeypatch.setattr(module, "_contracted", lambda edges: edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    links = [(i, i + 1) for i in range(40)] + [(100, 90), (100, 95), (95, 200)]
+    got = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    assert {r.id: r.component for r in got} == reachable({n for link in links for n in link}, links)
+
+
 # --- mixing -----------------------------------------------------------------------------------
 
 
