@@ -11,8 +11,8 @@ A pair at similarity 0.75 stays unseen in all orders with a chance of 5e-6. Cand
 confirmed on full sets: first each node's most frequent partners; then of the other candidates
 all those that are not yet in one component. What joins no two components cannot change the result.
 Then nodes whose region was crowded are compared by all their minima with many more neighbours, as far
-as these are in other components; likely pairs are confirmed, the likeliest of two components first,
-until none is left that could join two components.
+as these are in other components; the likeliest pairs of two components are confirmed, and again with
+the new components as long as that finds links.
 
 Defined cases: null texts and texts without words have an empty set and are linked with nothing;
 texts of fewer than five words are one shingle; a row with a null id is linked with nothing, kept, and has no
@@ -41,7 +41,7 @@ NEAR = 6
 #: Partners per node that are confirmed first.
 FIRST = 2
 #: In crowded regions: nodes before a node that are compared by their minima, equal minima of 128 that
-#: call for a full comparison (0.6, four standard deviations below 0.75), and pairs of two components per round at first.
+#: call for a full comparison (0.6, four standard deviations below 0.75), and pairs of two components per order and batch.
 REACH, LIKELY, MOST = 256, 77, 8
 _U = np.uint64
 _MULTIPLIERS = np.random.default_rng(20240229).integers(0, 2**63, (2, ORDERS * PREFIX), dtype=np.uint64) * _U(2) + _U(1)
@@ -239,13 +239,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     ``component_id`` is the smallest id reachable by links; one row per component has kept (of rows that repeat that id, all).
     """
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     marked = stored(signatures(docs), "signatures")
     sets = marked.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
     sets = stored(sets, "sets")
     seen = neighbours(sets).groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders"), F.max("depth").alias("depth"), F.max("crowded").alias("crowded"))
     pairs = stored(seen, "pairs")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stored(docs.select("doc_id", "text").join(nodes.hint("merge"), "doc_id", "left_semi"), "texts")
+    texts = stored(docs.join(nodes.hint("merge"), "doc_id", "left_semi"), "texts")
     best = Window.partitionBy("at").orderBy(F.desc("orders"), F.desc("depth"), "a", "b")
     ranked = pairs.select("*", F.explode(F.array("a", "b")).alias("at")).withColumn("place", F.row_number().over(best))
     first = stored(ranked.where(F.col("place") <= FIRST).select("a", "b").distinct(), "first")

@@ -224,7 +224,7 @@ def links_of_nodes(nodes: DataFrame, cosine: float = COSINE) -> DataFrame:
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """Per row of ``vectors`` (vec_id, embedding, label): vec_id, n_links, component_id, kept."""
-    rows = vectors.select("vec_id", "embedding", "label")
+    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding", "label")
     valid = usable("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     nodes = rows.where(valid).groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
     nodes = stored(nodes, "nodes")
