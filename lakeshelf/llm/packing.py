@@ -123,7 +123,15 @@ def pack_schema(docs: DataFrame, with_ids: bool) -> StructType:
     return StructType(fields + [StructField("ids", ArrayType(IntegerType()))] * with_ids)
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END, open_windows: int = OPEN, max_gap: int = MAX_GAP, with_ids: bool = False) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    tokenizer: str,
+    length: int = LENGTH,
+    end: int = END,
+    open_windows: int = OPEN,
+    max_gap: int = MAX_GAP,
+    with_ids: bool = False,
+) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text): doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset [, ids].
 
     ``tokenizer`` is the path of a byte-level BPE file that exists on every machine.

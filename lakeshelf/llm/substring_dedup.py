@@ -220,7 +220,8 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, parts: int | None = No
         kept = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), left), b" ").to_pylist()
         digests = [hashlib.sha256(x).hexdigest() for x in kept]
         texts = [x.decode() for x in kept] if with_text else []
-        columns = [part.ids, pa.array(words.counts.astype(np.int64)), pa.array((removed[first[1:]] - removed[first[:-1]]).astype(np.int64)), pa.array(digests, pa.string())]
+        n_removed = removed[first[1:]] - removed[first[:-1]]
+        columns = [part.ids, pa.array(words.counts.astype(np.int64)), pa.array(n_removed.astype(np.int64)), pa.array(digests, pa.string())]
         return pa.table(columns + [pa.array(texts, pa.string())] * with_text, names=out.names)
 
     packed = "bucket bigint, part bigint, keys binary, "

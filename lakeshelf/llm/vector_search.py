@@ -59,7 +59,9 @@ def leaves(points: np.ndarray, size: int = LEAF) -> list[np.ndarray]:
     return done
 
 
-def search_block(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, longest: float, sure: float = SURE) -> tuple[np.ndarray, np.ndarray]:
+def search_block(
+    vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, longest: float, sure: float = SURE
+) -> tuple[np.ndarray, np.ndarray]:
     """Ids and inner products of each query's best k among ``vectors``, best first; unused places have score -inf.
 
     ``own`` is the id that a query must not meet.
@@ -113,7 +115,11 @@ def search_block(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, own:
 
 def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, sure: float = SURE) -> DataFrame:
     """``vectors`` (vec_id, embedding): query_id, rank, vec_id, score for each row for which ``is_query`` holds."""
-    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    rows = vectors.select(
+        F.col("vec_id").cast("bigint").alias("vec_id"),
+        F.col("embedding").cast("array<double>").alias("embedding"),
+        F.coalesce(is_query, F.lit(False)).alias("asks"),
+    )
     rows = stored(rows.where(usable("embedding") & F.col("vec_id").isNotNull()).withColumn("dim", F.size("embedding")), "vectors")
     squares = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
     n, asking, longest = rows.agg(F.count(F.lit(1)), F.count_if("asks"), F.sqrt(F.max(squares))).first()
