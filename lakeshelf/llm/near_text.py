@@ -12,7 +12,9 @@ confirmed on full sets: first each node's most frequent partners; then of the ot
 all those that are not yet in one component. What joins no two components cannot change the result.
 Then nodes whose region was crowded are compared by all their minima with many more neighbours, as far
 as these are in other components; the likeliest pairs of two components are confirmed, and again with
-the new components as long as that finds links.
+the new components as long as that finds links. What is still in different components of one crowded area
+is compared in full: sets that reach 0.75 share one of their rarest shingles (a prefix filter), so the pairs that
+do are all confirmed, however far apart they are in the orders.
 
 Defined cases: null texts and texts without words have an empty set and are linked with nothing;
 texts of fewer than five words are one shingle; a row with a null id is linked with nothing, kept, and has no
@@ -43,6 +45,8 @@ FIRST = 2
 #: In crowded regions: nodes before a node that are compared by their minima, equal minima of 128 that
 #: call for a full comparison (0.6, four standard deviations below 0.75), and pairs of two components per order and batch.
 REACH, LIKELY, MOST = 256, 77, 8
+#: Sets with one shingle that a task compares with as many others, and pairs from which on a sample of them is confirmed first.
+BLOCK, MANY = 512, 200_000
 _U = np.uint64
 _MULTIPLIERS = np.random.default_rng(20240229).integers(0, 2**63, (2, ORDERS * PREFIX), dtype=np.uint64) * _U(2) + _U(1)
 
@@ -135,8 +139,11 @@ def neighbours(sets: DataFrame) -> DataFrame:
                 at, depth = at[depth >= PREFIX], depth[depth >= PREFIX]
                 if back > NEAR:
                     many[at] = True
+                    head = at[~many[at - 1]]  # ties the nodes that begin a region to it
+                    for step in range(1, NEAR + 2):
+                        out.append((node[head], node[head - step], _prefix_length(key[head], key[head - step]), many[head]))
                     continue
-                own = ~many[at] | (back == 1)  # of a crowded region only the nearest one
+                own = ~many[at] | ((back == 1) & many[at - 1])  # of a crowded region only the nearest one
                 at, depth = at[own], depth[own]
                 out.append((node[at], node[at - back], depth, many[at]))
             a, b, depth, crowded = (np.concatenate(x) for x in zip(*out))
@@ -195,6 +202,79 @@ def foreign_neighbours(sets: DataFrame) -> DataFrame:
     return _sorted_orders(sets, ORDERS * PREFIX, "component").mapInArrow(read, "a bigint, b bigint").distinct()
 
 
+def _splittable(groups: DataFrame, key: str, *sums) -> DataFrame:
+    """Aggregates per ``key``, shuffled once more for a join with a hot key, which Spark can then split."""
+    return groups.groupBy(key, F.xxhash64(key).alias("_hash")).agg(*sums).drop("_hash")
+
+
+def mixed_areas(crowded: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, component) of the nodes in crowded areas that hold several components.
+
+    ``crowded`` has the pairs (a, b) that tie an area; where it holds several components, each of them is an end of a pair of two.
+    """
+    pairs = stored(_by_component(crowded, found), "areas")
+    mixed = pairs.where("ca != cb").select(F.explode(F.array("ca", "cb")).alias("component")).distinct()
+    ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("ca").alias("component")), F.struct(F.col("b").alias("node"), F.col("cb").alias("component"))))
+    nodes = pairs.select(ends.alias("_end")).select("_end.*").distinct()
+    return nodes.join(mixed, "component").select("node", "component")
+
+
+def sharing_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): all pairs of ``nodes`` (node, component) of different components that can be similar enough.
+
+    Of a set with n shingles any similar one has 3n/4 or more. Ordered by frequency, the shingles that
+    occur in one component only left out, two similar sets share one of the first ones of both; and
+    behind the first that they share there are enough others. Frequent shingles are cut into blocks.
+    """
+
+    def read(batches) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in by_bytes(whole, 2, 1 << 20):
+                values, first = shingles(batch.column(2))
+                digests = [hashlib.blake2b(values[i:j].tobytes(), digest_size=16).digest() for i, j in zip(first, first[1:])]
+                lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(digests, pa.binary()), lists], ["node", "component", "digest", "shingles"])
+
+    rows = texts.withColumnRenamed("doc_id", "node").join(nodes.hint("merge"), "node").select("node", "component", "text")
+    sets = rows.mapInArrow(read, "node bigint, component bigint, digest binary, shingles array<bigint>")
+    sets = stored(sets.dropDuplicates(["node", "digest"]), "shingles")
+    size = F.size("shingles").cast("bigint").alias("n")
+    rows = sets.select("node", "component", F.xxhash64("node", "digest").alias("set"), size, F.explode("shingles").alias("shingle"))
+    ends = F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("often")
+    kinds = _splittable(rows, "shingle", *ends).where("_low != _high").select("shingle", "often")
+    own = Window.partitionBy("set")
+    rows = rows.join(kinds.hint("merge"), "shingle")
+    rows = rows.withColumn("place", F.row_number().over(own.orderBy("often", "shingle"))).withColumn("rest", F.count(F.lit(1)).over(own) - F.col("place"))
+    rows = stored(rows.where("rest + 1 >= (3 * n + 3) div 4").drop("often", "place"), "prefixes")
+    kinds = _splittable(rows, "shingle", *ends).where("_low != _high")
+    blocks = kinds.select("shingle", F.ceil(F.col("often") / BLOCK).alias("_blocks"))
+    rows = rows.join(blocks.hint("merge"), "shingle").withColumn("_block", F.pmod(F.xxhash64("set"), "_blocks"))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1)))
+    a, b = (
+        rows.select("shingle", F.col(i).alias("_i"), F.col(j).alias("_j"), F.col("node").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("component", "n", "rest")))
+        for c, i, j in (("a", "_block", "_other"), ("b", "_other", "_block"))
+    )
+    near = a.hint("merge").join(b, ["shingle", "_i", "_j"]).where("a < b AND component_a != component_b AND 7 * (1 + least(rest_a, rest_b)) >= 3 * (n_a + n_b)")
+    return near.select("a", "b").distinct()
+
+
+def _joined_in_full(found: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``found`` after all of ``pairs`` (a, b) that still join two components are confirmed; of very many a sample goes first."""
+    for part in (64, 8, 1):
+        pairs = stored(_by_component(pairs, found).where("ca != cb").select("a", "b"), "far")
+        n = pairs.count()
+        if not n:
+            break
+        some = F.pmod(F.xxhash64("a", "b"), F.lit(part if n > MANY else 1)) == 0
+        new = stored(confirmed(pairs.where(some), texts), "links")
+        if not new.isEmpty():
+            found = _merged(found, new)
+        if n <= MANY:
+            break
+        pairs = pairs.where(~some)
+    return found
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The ``pairs`` (a, b) whose full sets are similar enough."""
 
@@ -267,6 +347,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if new.isEmpty():
             break
         found = _merged(found, new)
+    if not crowded.isEmpty():
+        areas = stored(mixed_areas(pairs.where("crowded").select("a", "b"), found), "areas")
+        if not areas.isEmpty():
+            far = sharing_pairs(areas, texts).join(tried, ["a", "b"], "left_anti")
+            found = _joined_in_full(found, far, texts)
     classes = sets.join(found.withColumnRenamed("id", "node"), "node", "left")
     classes = stored(classes.select("digest", F.coalesce("component", "node").alias("_class")), "classes")
     # Copies of one set may be a third of the rows: an outer join of two shuffled inputs can be split.
