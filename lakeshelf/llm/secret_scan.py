@@ -55,8 +55,15 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+#: A private key up to its own END line, or without one to the end of its base64 lines. Possessive loops: no text is too long for them.
+_PEM = (
+    r"-----BEGIN ([A-Z ]{0,40})PRIVATE KEY-----(?:"
+    r"(?:(?!-----BEGIN |-----END \1PRIVATE KEY-----)[\x00-\x{10FFFF}])*+-----END \1PRIVATE KEY-----"
+    r"|(?:(?:[\s\x22'+>#*,]|\\[nrt])*+(?:(?:Proc-Type|DEK-Info):[^\r\n\\]*+|[A-Za-z0-9+/=]{16,}+))*+"
+    r"(?:(?:\s|\\[nrt])++[A-Za-z0-9+/]++={0,2}+(?=[\x20\t]*+(?:[\r\n\x22'\\]|\z)))?+)"
+)
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("pem", _PEM, version=2),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("login", r"://[^\x09-\x0D\x20/:@]{1,64}:[^\x09-\x0D\x20/:@]{1,64}@"),
