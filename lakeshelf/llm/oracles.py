@@ -167,6 +167,29 @@ _NEAR_VECTORS = """
     FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN classes USING (vec_id)
 """
 
+_HARD_NEGATIVES = """
+    WITH used AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+    ), anchors AS (SELECT * FROM used WHERE vec_id % 100 = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+               list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM anchors AS a JOIN used AS r ON a.vec_id <> r.vec_id AND len(a.v) = len(r.v)
+    ), positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+"""
+
 SQL = {
     "op1_near_vectors": _NEAR_VECTORS,
     "op6_mix_sources": _MIX,
@@ -174,4 +197,5 @@ SQL = {
     "op8_license_diagonals": _licenses(),
     "op9_repeated_windows": _REPEATS,
     "op10_secret_ledger": _secrets(),
+    "op12_hard_negatives": _HARD_NEGATIVES,
 }

@@ -1,4 +1,4 @@
-"""The queries ``op1_...`` to ``op10_...`` and ``pipeline``: each operator on its whole given table."""
+"""The queries ``op1_...`` to ``op13_...``: each operator on its whole given table."""
 
 from __future__ import annotations
 
@@ -9,7 +9,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm import language, license_scan, mixing, near_text, near_vectors, oracles, packing, quality, secret_scan, substring_dedup, vector_search
+from lakeshelf.llm import (
+    hard_negatives,
+    language,
+    license_scan,
+    mixing,
+    near_text,
+    near_vectors,
+    oracles,
+    packing,
+    quality,
+    secret_scan,
+    substring_dedup,
+    vector_search,
+)
 from lakeshelf.llm.stored import read_table, ship_package, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +140,10 @@ def op10_secret_ledger(spark, sf_dir):
         F.sha2(joined(of_kinds(base)), 256).alias("base_sha256"),
         joined(F.col("found")).alias("spans"),
     )
+
+
+@_query
+def op12_hard_negatives(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
