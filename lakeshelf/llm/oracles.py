@@ -190,6 +190,38 @@ _HARD_NEGATIVES = """
     QUALIFY rank <= 10
 """
 
+_COLLOCATIONS = r"""
+    WITH pieces AS (
+        SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+        FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+              FROM documents)
+    ), counts AS (
+        SELECT lang, size, array_to_string(w[i : i + size - 1], ' ') AS phrase, count(*) AS f
+        FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, range(1, 5) AS sizes(size))
+        GROUP BY ALL
+    ), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang),
+    candidates AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE size > 1 AND f >= 30),
+    held AS (
+        SELECT lang, array_to_string(w[i : i + inner_size - 1], ' ') AS phrase, max(a) AS longer
+        FROM (SELECT lang, w, a, inner_size, unnest(range(1, size - inner_size + 2)) AS i
+              FROM candidates, range(2, 4) AS sizes(inner_size) WHERE inner_size < size)
+        GROUP BY ALL
+    ), kept AS (
+        SELECT c.* FROM candidates AS c LEFT JOIN held USING (lang, phrase)
+        WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+    ), cuts AS (
+        SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1 :], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, size)) AS k FROM kept)
+    ), scored AS (
+        SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r, k, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+        FROM cuts AS c JOIN counts AS x ON x.lang = c.lang AND x.phrase = head JOIN counts AS y ON y.lang = c.lang AND y.phrase = tail
+        QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM scored JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
 SQL = {
     "op1_near_vectors": _NEAR_VECTORS,
     "op6_mix_sources": _MIX,
@@ -198,4 +230,5 @@ SQL = {
     "op9_repeated_windows": _REPEATS,
     "op10_secret_ledger": _secrets(),
     "op12_hard_negatives": _HARD_NEGATIVES,
+    "op13_collocations": _COLLOCATIONS,
 }

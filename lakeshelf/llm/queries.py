@@ -18,6 +18,7 @@ from lakeshelf.llm import (
     near_vectors,
     oracles,
     packing,
+    phrases,
     quality,
     secret_scan,
     substring_dedup,
@@ -147,3 +148,8 @@ def op12_hard_negatives(spark, sf_dir):
     rows = read_table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+@_query
+def op13_collocations(spark, sf_dir):
+    return phrases.mine(_documents(spark, sf_dir, "text", "lang"))

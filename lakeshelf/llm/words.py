@@ -32,10 +32,13 @@ class Words:
     """The words of an Arrow text column (null: no words).
 
     ``ids`` numbers each word by ``vocabulary`` (list of bytes); the words of text ``i`` are
-    ``ids[first[i]:first[i + 1]]``, and the same slice of the Arrow array ``words``.
+    ``ids[first[i]:first[i + 1]]``, and the same slice of the Arrow array ``words``. With ``breaks``, some of the separators
+    also end a piece of the text: ``pieces`` numbers the piece of each word over all texts.
     """
 
-    def __init__(self, texts: pa.Array | pa.ChunkedArray, separator: np.ndarray = WHITE, lower: bool = False):
+    def __init__(
+        self, texts: pa.Array | pa.ChunkedArray, separator: np.ndarray = WHITE, lower: bool = False, breaks: np.ndarray | None = None
+    ):
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -62,6 +65,10 @@ class Words:
         self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
         self.dictionary = coded.dictionary
         self.counts = np.diff(self.first)
+        if breaks is not None:
+            ends = np.frombuffer(data.tobytes().translate(breaks.tobytes()), bool)
+            # Both terms never fall, so the sum is the same for two words only if both terms are.
+            self.pieces = np.cumsum(ends)[starts] + self.owners()
 
     @cached_property
     def vocabulary(self) -> list[bytes]:
