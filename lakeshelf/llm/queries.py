@@ -22,6 +22,7 @@ from lakeshelf.llm import (
     quality,
     secret_scan,
     substring_dedup,
+    url_filter,
     vector_search,
 )
 from lakeshelf.llm.stored import read_table, ship_package, stored
@@ -153,3 +154,19 @@ def op12_hard_negatives(spark, sf_dir):
 @_query
 def op13_collocations(spark, sf_dir):
     return phrases.mine(_documents(spark, sf_dir, "text", "lang"))
+
+
+URL_RULES = [
+    url_filter.Rule("net", "/", "block"),
+    url_filter.Rule("example.net", "/en/", "allow"),
+    url_filter.Rule("example.com", "/de/", "block"),
+    url_filter.Rule("org", "/fr/", "allow"),
+]
+#: Words that label a url as unwanted, for want of labelled urls among the given tables.
+UNWANTED = ["adult", "bet", "casino", "cheap", "crack", "dating", "farm", "loan", "lottery", "pills", "poker", "porn", "sex", "spam", "warez", "xxx"]
+
+
+@_query
+def op11_url_filter(spark, sf_dir):
+    judged = url_filter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), _documents(spark, sf_dir, "text"), URL_RULES, UNWANTED)
+    return judged.select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict", "score")

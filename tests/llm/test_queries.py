@@ -29,7 +29,7 @@ def table(name):
 
 
 def test_all_are_registered():
-    assert {k.split("_")[0] for k in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(registry.queries())
     assert set(queries.SQL) <= set(registry.oracle_sql())
 
