@@ -10,22 +10,43 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+#: DuckDB's expressions know no lookahead and no reference to a group, so a private key's heading, END line and base64 lines are found apart.
+_KEY_HEAD = "-----BEGIN ([A-Z ]{0,40})PRIVATE KEY-----"
+_BLANK = r"(?:[\x09-\x0D\x20]|\\[nrt])"
+_KEY_BODY = rf"^((?:(?:[\x09-\x0D\x20\x22'+>#*,]|\\[nrt])*(?:(?:Proc-Type|DEK-Info):[^\r\n\\]*|[A-Za-z0-9+/=]{{16,}}))*)"
+_KEY_LAST = rf"{_KEY_BODY[:-1]}{_BLANK}+[A-Za-z0-9+/]+={{0,2}})[\x20\x09]*(?:[\r\n\x22'\\]|$)"
+
+
 def _secrets() -> str:
+    patterns = [(i, r.kind, _KEY_HEAD if r.kind == "pem" else r.pattern, 1 if r.kind == "pem" else r.group, r.least) for i, r in enumerate(RULES)]
     per_rule = " UNION ALL ".join(
-        f"""SELECT row, {i} AS nth, {_quoted(r.kind)} AS kind, unnest(range(len(m))) AS i, unnest(m) AS match, unnest(g) AS value,
-                   unnest(string_split_regex(t, {_quoted(r.pattern)})[1:len(m)]) AS gap, {r.least} AS least
-            FROM (SELECT row, t, regexp_extract_all(t, {_quoted(r.pattern)}, 0) AS m,
-                         regexp_extract_all(t, {_quoted(r.pattern)}, {r.group}) AS g FROM docs) WHERE len(m) > 0"""
-        for i, r in enumerate(RULES)
+        f"""SELECT row, t, {i} AS nth, {_quoted(kind)} AS kind, unnest(range(len(m))) AS i, unnest(m) AS match, unnest(g) AS value,
+                   unnest(string_split_regex(t, {_quoted(pattern)})[1:len(m)]) AS gap, {least} AS least
+            FROM (SELECT row, t, regexp_extract_all(t, {_quoted(pattern)}, 0) AS m,
+                         regexp_extract_all(t, {_quoted(pattern)}, {group}) AS g FROM docs) WHERE len(m) > 0"""
+        for i, kind, pattern, group, least in patterns
     )
     base = ", ".join(_quoted(r.kind) for r in BASE_RULES)
     counts = ", ".join(f"count(*) FILTER (kind = {_quoted(r.kind)}) AS n_{r.kind}" for r in BASE_RULES)
     listed = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, nth)"
+    last, body = (f"regexp_extract(rest, {_quoted(p)}, 1)" for p in (_KEY_LAST, _KEY_BODY))
     return f"""
     WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
     pieces AS ({per_rule}),
     ends AS (SELECT *, sum(length(gap) + length(match)) OVER (PARTITION BY row, nth ORDER BY i)::BIGINT AS stop FROM pieces),
-    spans AS (SELECT row, nth, kind, stop - length(match) AS start, stop FROM ends WHERE length(value) >= least),
+    keys AS (
+        SELECT row, nth, kind, stop - length(match) AS start, stop AS head_stop, substr(t, stop + 1) AS rest,
+               '-----END ' || value || 'PRIVATE KEY-----' AS own
+        FROM ends WHERE kind = 'pem'
+    ), placed AS (SELECT *, strpos(rest, own) AS own_at, strpos(rest, '-----BEGIN ') AS next_at FROM keys),
+    spans AS (
+        SELECT row, nth, kind, stop - length(match) AS start, stop FROM ends WHERE kind <> 'pem' AND length(value) >= least
+        UNION ALL
+        SELECT row, nth, kind, start, head_stop + CASE
+            WHEN own_at > 0 AND (next_at = 0 OR own_at < next_at) THEN own_at - 1 + length(own)
+            ELSE greatest(length({last}), length({body})) END
+        FROM placed
+    ),
     found AS (SELECT row, {counts}, {listed} FILTER (kind IN ({base})) AS base, {listed} AS spans FROM spans GROUP BY row)
     SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE_RULES)},
            sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans

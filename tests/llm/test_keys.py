@@ -2,10 +2,11 @@
 
 import random
 
+import duckdb
 import pytest
 
 import corpus_pipeline
-from lakeshelf.llm import stored
+from lakeshelf.llm import queries, stored
 
 
 @pytest.mark.parametrize("end", ["\n-----END RSA PRIVATE KEY-----", ""])
@@ -26,3 +27,42 @@ def test_no_key_body_is_left(spark, end):
     for i, body in enumerate(bodies):
         assert not any(line in out[i] for line in body)
         assert out[i] == "before\n[secret]\n\nIt is over, he said."
+
+
+def test_spans_of_every_rule_are_as_in_sql(spark, tmp_path):
+    rnd = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def some(n):
+        return "".join(rnd.choices(letters, k=n))
+
+    def key(label, end, line_end="\n", head=""):
+        lines = line_end.join(some(64) for _ in range(rnd.randrange(1, 5)))
+        last = rnd.choice(["", line_end + "Zm9vYg==", line_end + some(9) + "+/"])
+        close = f"{line_end}-----END {label if end == 'own' else 'OTHER '}PRIVATE KEY-----" if end else ""
+        return f"-----BEGIN {label}PRIVATE KEY-----{line_end}{head}{lines}{last}{close}"
+
+    kinds = [
+        lambda: key(rnd.choice(["", "RSA ", "EC "]), rnd.choice(["own", "other", ""]), rnd.choice(["\n", "\r\n", "\\n"])),
+        lambda: key("RSA ", "own", head="Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n"),
+        lambda: f"eyJ{some(12)}.{some(20)}.{some(30)}",
+        lambda: f"ghp_{some(36)}",
+        lambda: f"https://{some(4)}:{some(5)}@host/x",
+        lambda: f"AKIA{some(20).upper()}",
+        lambda: f"token = {some(8)}",
+        lambda: "%032x" % rnd.getrandbits(128),
+        lambda: rnd.choice(["é漢 plain words.", "-----BEGIN PUBLIC KEY-----", "-----END RSA PRIVATE KEY-----", "It is over, he said."]),
+    ]
+    rows = [(i, rnd.choice([" ", "\n", "\n\n"]).join(rnd.choice(kinds)() for _ in range(rnd.randrange(7)))) for i in range(400)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows + [(400, None)], "doc_id bigint, text string").write.parquet(path)
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    expected = connection.sql(queries.SQL["op10_secret_ledger"])
+    df = queries.QUERIES["op10_secret_ledger"](spark, str(tmp_path))
+    order = [expected.columns.index(c) for c in df.columns]
+    want = {r[0]: r for r in (tuple(row[i] for i in order) for row in expected.fetchall())}
+    got = {r.doc_id: tuple(r) for r in df.collect()}
+    assert got == want
+    found = {span.split(":")[0] for r in got.values() for span in r[-1].split(",") if span}
+    assert found == {"assign", "access", "hex", "pem", "jwt", "forge", "login"}
