@@ -33,7 +33,10 @@ def _columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that language identification does not reject; it learns from their own ``lang`` labels."""
+    """Documents that language identification does not reject; it learns from their own ``lang`` labels.
+
+    A null text, or one without a letter, goes; a null ``lang`` teaches nothing. Repeated rows are judged alike; an empty table stays empty.
+    """
     ship_package(spark)
     field = F.col("_row").getField
     rows = _row(docs).select("_row", *(field(c).alias(c) for c in ("doc_id", "text", "lang")))
@@ -46,31 +49,39 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates; rows without an id have no group and stay.
 
-    Rows that repeat an id stay or go together, and equal ones of them become one row.
+    Rows that repeat an id stay or go together. Those equal in every column become one row; any that differ in a column stay. Null and empty
+    texts are linked with nothing and stay.
     """
     ship_package(spark)
     stay = near_text.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     named = docs.where("doc_id IS NOT NULL").join(stay, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
+    return named.select(*docs.columns).dropDuplicates().unionByName(docs.where("doc_id IS NULL"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with each secret span replaced; ``n_chars`` follows the text."""
+    """The documents with each secret span replaced; ``n_chars`` follows the text.
+
+    Every row stays, with its other columns as they were. Null and empty texts stay what they are; equal texts are masked alike.
+    """
     ship_package(spark)
     ledger = secret_scan.extend_ledger(docs.select("text"))
     found = secret_scan.findings(ledger).withColumnRenamed("blob", "_blob").withColumnRenamed("found", "_found")
-    rows = docs.withColumn("_blob", secret_scan.address("text")).join(found, "_blob", "left")
-    # A column of its own first: inside a lambda, the name "text" would mean the new column of that name.
-    rows = rows.withColumn("_masked", secret_scan.redacted(F.col("_found"), F.col("text")))
+    rows = _row(docs).withColumn("_blob", secret_scan.address("_row.text")).join(found, "_blob", "left")
+    field, masked = F.col("_row").getField, secret_scan.redacted(F.col("_found"), F.col("_row.text"))
+    # In a column first, as two columns may use it.
+    rows = rows.withColumn("_masked", masked)
     changed = {"text": F.col("_masked")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.length("_masked").cast(kind))
-    return rows.select(*(changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
+        changed["n_chars"] = F.when(F.col("_found").isNull(), field("n_chars")).otherwise(F.length("_masked").cast(kind))
+    return rows.select(*(changed.get(c, field(c)).alias(c) for c in docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it, as equal rows.
+
+    A null source is a source; documents without words are not taken; repeated rows are documents of their own.
+    """
     ship_package(spark)
     field = F.col("_row").getField
     rows = _row(docs).select("_row", *(field(c).alias(c) for c in ("doc_id", "text", "source")))
@@ -80,7 +91,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of packed sequences, as ``lakeshelf.llm.packing`` describes them."""
+    """Pieces of packed sequences, as ``lakeshelf.llm.packing`` describes them.
+
+    A null or empty text is its closing token alone; repeated rows are packed each; an empty table gives no pieces.
+    """
     ship_package(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -95,7 +109,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to the given documents."""
+    """All stages applied to the given documents; an empty table passes through all of them."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
