@@ -38,7 +38,7 @@ from lakeshelf.operators.calendar import (
     spine_of,
 )
 from lakeshelf.operators.joins import join_using, left_outer, star_sum, without_match
-from lakeshelf.operators.quality import repeated_keys, violations
+from lakeshelf.operators.quality import orphan_keys, reference_violations, repeated_keys, violations
 from lakeshelf.operators.ranking import leaders_per_group, top_k, top_k_cut
 from lakeshelf.operators.rows import distinct_rows, tag_rows, union_labelled
 from lakeshelf.plans import medallion, rental
@@ -408,6 +408,46 @@ def rule_violations(spark, sf_dir):
     return violations(read_table(spark, sf_dir, "documents"), rules)
 
 
+REFERENCES = (
+    schemas.Reference("customer", ("c_nationkey",), "nation", ("n_nationkey",)),
+    schemas.Reference("orders", ("o_custkey",), "customer", ("c_custkey",)),
+    schemas.Reference("orders", ("o_orderkey",), "lineitem", ("l_orderkey",)),
+    schemas.Reference("lineitem", ("l_orderkey",), "orders", ("o_orderkey",)),
+    schemas.Reference("lineitem", ("l_partkey",), "part", ("p_partkey",)),
+    schemas.Reference("lineitem", ("l_suppkey",), "supplier", ("s_suppkey",)),
+    schemas.Reference("part", ("p_partkey",), "lineitem", ("l_partkey",)),
+    schemas.Reference("events", ("user_id",), "supplier", ("s_suppkey",)),
+    schemas.Reference("documents", ("doc_id",), "labels", ("doc_id",)),
+)
+
+
+def _referred(spark, sf_dir):
+    return read_tables(spark, sf_dir, sorted({t for r in REFERENCES for t in (r.table, r.target)}))
+
+
+_ORPHANS = " UNION ALL ".join(
+    f"""
+    SELECT '{r.table}' AS table_name, '{r.name}' AS column_name, '{r.target}' AS target, CAST({r.name} AS VARCHAR) AS key, count(*) AS n_rows
+    FROM {r.table} WHERE {r.name} NOT IN (SELECT {r.target_columns[0]} FROM {r.target}) GROUP BY {r.name}
+    """
+    for r in REFERENCES
+)
+
+
+@_query(_ORPHANS, name="orphan_keys")
+def lost_references(spark, sf_dir):
+    """Keys without their row in the referred table, for all references by one shuffle; some references are broken by nature of the data."""
+    return orphan_keys(_referred(spark, sf_dir), REFERENCES)
+
+
+@_query(f"""
+    SELECT 'reference' AS rule, table_name, column_name, count(*) AS n_keys, CAST(sum(n_rows) AS BIGINT) AS n_rows
+    FROM ({_ORPHANS}) GROUP BY table_name, column_name
+""", name="reference_violations")
+def broken_references(spark, sf_dir):
+    return reference_violations(_referred(spark, sf_dir), REFERENCES)
+
+
 # --- scans and calendars --------------------------------------------------------------------
 
 
@@ -734,6 +774,44 @@ def fact_day_pruned_read(spark, sf_dir):
     return read_days(spark, root, NEXT_DAY, NEXT_DAY)
 
 
+CORRECTED_FROM = 330
+
+
+@_query(f"""
+    WITH late AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE value >= {CORRECTED_FROM}),
+    lines AS (SELECT DISTINCT event_id, CAST(ts AS DATE) AS report_date, user_id AS product_id, length(event_type) AS client_id,
+                     event_id % 3 AS store_id, CAST(floor(value) AS BIGINT) + CASE WHEN value >= {CORRECTED_FROM} THEN 1000 ELSE 0 END AS quantity
+              FROM events)
+    SELECT report_date, product_id, client_id, store_id, CAST(sum(quantity) AS BIGINT) AS quantity,
+           CAST(1 + (report_date IN (SELECT day FROM late))::INTEGER AS BIGINT) AS loads
+    FROM lines GROUP BY report_date, product_id, client_id, store_id
+""")
+def backfill_changed_days(spark, sf_dir):
+    """All days loaded; some rows corrected and everything landed again, in another order; only the days with a correction are loaded.
+
+    ``loads`` is how often a day was loaded.
+    """
+    layout, events = _layout(spark), read_table(spark, sf_dir, "events")
+    value = F.floor("value").cast("bigint")
+    corrected = value + F.when(F.col("value") >= CORRECTED_FROM, 1000).otherwise(0)
+    loads = []
+    for quantity, order in ((value, "event_id"), (corrected, "user_id")):
+        lines = events.select(
+            F.col("event_id").alias("order_id"),
+            F.col("user_id").alias("product_id"),
+            F.length("event_type").cast("bigint").alias("client_id"),
+            (F.col("event_id") % 3).alias("store_id"),
+            quantity.alias("quantity"),
+            F.col("ts").cast("date").alias("report_date"),
+        )
+        medallion.land_days(lines.repartition(order), layout.bronze, "orders")
+        days = medallion.backfill_orders(spark, layout, EVENTS_FROM, EVENTS_TO, missing="skip", changed_only=True)
+        loads += [(day,) for day in days]
+    facts = read_days(spark, layout.gold_table("fact_orders"), EVENTS_FROM, EVENTS_TO)
+    counts = count_rows(spark.createDataFrame(loads, "report_date date"), ["report_date"], "loads")
+    return join_using(facts, counts, "report_date")
+
+
 # --- the questions on rental frames -----------------------------------------------------------
 
 

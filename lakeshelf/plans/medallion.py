@@ -8,6 +8,7 @@ write, so a repeated day gives the same tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,14 +19,16 @@ from lakeshelf import schemas
 from lakeshelf.functions import as_date, days_between
 from lakeshelf.operators.aggregates import add_up
 from lakeshelf.operators.calendar import build_dates
+from lakeshelf.operators.fingerprints import PARTS, changed, fingerprint
 from lakeshelf.operators.rows import distinct_rows
-from lakeshelf.sinks.days import reload_day, reload_days
-from lakeshelf.sinks.files import write_csv, write_parquet
+from lakeshelf.sinks.days import DAY, read_days, reload_day, reload_days, swap_days
+from lakeshelf.sinks.files import FILLER, csv_writer, write_csv, write_parquet
+from lakeshelf.sinks.swap import NEW
 from lakeshelf.session import scratch_path
 from lakeshelf.sources.files import exists, list_names, publish
 from lakeshelf.sources.layout import Layout, day_path, days_glob
 from lakeshelf.sources.payloads import read_json_numbers, read_json_objects
-from lakeshelf.sources.snapshots import day_of_file, landed_days, read_history, read_snapshot
+from lakeshelf.sources.snapshots import day_of_file, landed_days, read_csv, read_snapshot
 from lakeshelf.sources.tables import orders_of_day
 
 Day = str | dt.date
@@ -45,6 +48,17 @@ def land_table(df: DataFrame, root: str, table: str, day: Day, sep: str = SEPARA
     write_csv(df, day_path(root, table, day), sep)
 
 
+def land_days(df: DataFrame, root: str, table: str, sep: str = SEPARATOR) -> None:
+    """One snapshot for each ``report_date`` of ``df``, all by one job; the day is in the path, not in the files.
+
+    The snapshots are written aside and swapped in day by day; days without rows are not touched.
+    """
+    rows = df.withColumn(FILLER, F.lit(1)) if len(df.columns) == 2 else df
+    batch = f"{root}/{table}/{NEW}batch.{uuid.uuid4().hex}"
+    csv_writer(rows.hint("rebalance", F.col(DAY)), sep).partitionBy(DAY).csv(batch)
+    swap_days(df.sparkSession, batch, lambda day: day_path(root, table, day))
+
+
 def land_tables(
     source: Source, tables: Iterable[str], root: str, day: Day, sep: str = SEPARATOR
 ) -> None:
@@ -246,6 +260,31 @@ def _days_to_load(
     return landed
 
 
+def _prints(spark: SparkSession, layout: Layout, table: str) -> str:
+    return f"{layout.gold}/day_fingerprints/{table}"
+
+
+def _days_that_changed(
+    spark: SparkSession, layout: Layout, table: str, rows: DataFrame, days: Sequence[dt.date]
+) -> tuple[list[dt.date], DataFrame]:
+    """Of the landed ``days`` those whose rows differ from what was loaded last, and the fingerprints of these.
+
+    The fingerprints of all days are taken in one pass over ``rows`` and written before they are used; a landed day without rows
+    has one of zeros.
+    """
+    found = _days_frame(spark, days).join(fingerprint(rows, ["report_date"]), "report_date", "left")
+    zeros = [F.coalesce(c, F.lit(0)).cast(found.schema[c].dataType).alias(c) for c in PARTS]
+    path = scratch_path(spark, "fingerprints")
+    found.select("report_date", *zeros).write.parquet(path)
+    new, root = spark.read.parquet(path), _prints(spark, layout, table)
+    if exists(spark, root) and any(name.startswith("report_date=") for name in list_names(spark, root)):
+        known = read_days(spark, root, min(days), max(days))
+        stale = [r.report_date for r in changed(new, known, ["report_date"]).collect()]  # at most the days asked for
+    else:
+        stale = list(days)
+    return sorted(stale), new.where(F.col("report_date").isin(stale)) if stale else new.limit(0)
+
+
 def backfill_orders(
     spark: SparkSession,
     layout: Layout,
@@ -253,21 +292,29 @@ def backfill_orders(
     last: Day,
     sep: str = SEPARATOR,
     missing: str = "fail",
+    changed_only: bool = False,
 ) -> list[dt.date]:
     """Load ``fact_orders`` for an inclusive range of landed days by one job.
 
     Equal to running the days one after another: repeats are dropped within a day, and a
     landed but empty day ends up empty. Days that were never landed raise, or are left
     untouched with ``missing="skip"``. Returns the loaded days.
+
+    With ``changed_only`` days are left alone whose landed rows have the fingerprint of the last such load, whatever the
+    order of their rows or files. Fingerprints are stored after the facts, so a job that dies in between loads
+    its days again. Loads by other functions store none: a day that ``run_day`` wrote from other rows must be landed anew to be noticed.
     """
+
+    def read(days: Sequence[dt.date]) -> DataFrame:
+        path = days_glob(layout.bronze, "orders", days=days)
+        return read_csv(spark, path, schemas.SHOP["orders"], sep).select(day_of_file("orders"), "*")
+
+    def load(days: Sequence[dt.date]) -> None:
+        facts = roll_up_days(distinct_rows(read(days)))
+        reload_days(facts, layout.gold_table("fact_orders"), days)
+
     days = _days_to_load(spark, layout, "orders", first, last, missing, "csv")
-    if days:
-        rows = read_history(
-            spark, layout.bronze, "orders", first, last, schemas.SHOP["orders"], sep
-        )
-        ensure_dates(spark, layout, days)
-        reload_days(roll_up_days(distinct_rows(rows)), layout.gold_table("fact_orders"), days)
-    return days
+    return _load_days(spark, layout, "fact_orders", days, read, load, changed_only)
 
 
 def backfill_out_of_stock(
@@ -278,13 +325,37 @@ def backfill_out_of_stock(
     missing: str = "fail",
     form: str = "objects",
     multi_line: bool = False,
+    changed_only: bool = False,
 ) -> list[dt.date]:
     """The same for ``fact_oos`` and landed payloads."""
     table = "out-of-stock"
+
+    def read(days: Sequence[dt.date]) -> DataFrame:
+        payloads = read_payload(spark, days_glob(layout.bronze, table, suffix="json", days=days), form, multi_line)
+        return payloads.select(day_of_file(table), "product_id")
+
+    def load(days: Sequence[dt.date]) -> None:
+        reload_days(distinct_rows(read(days)), layout.gold_table("fact_oos"), days)
+
     days = _days_to_load(spark, layout, table, first, last, missing, "json")
+    return _load_days(spark, layout, "fact_oos", days, read, load, changed_only)
+
+
+def _load_days(
+    spark: SparkSession,
+    layout: Layout,
+    table: str,
+    days: list[dt.date],
+    read: Callable[[Sequence[dt.date]], DataFrame],
+    load: Callable[[Sequence[dt.date]], None],
+    changed_only: bool,
+) -> list[dt.date]:
+    prints = None
+    if days and changed_only:
+        days, prints = _days_that_changed(spark, layout, table, read(days), days)
     if days:
-        payloads = read_payload(spark, days_glob(layout.bronze, table, first, last, "json"), form, multi_line)
-        rows = payloads.select(day_of_file(table), "product_id")
         ensure_dates(spark, layout, days)
-        reload_days(distinct_rows(rows), layout.gold_table("fact_oos"), days)
+        load(days)
+    if days and prints is not None:
+        reload_days(prints, _prints(spark, layout, table), days)
     return days

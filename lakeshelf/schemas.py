@@ -93,3 +93,33 @@ GOLD_RULES = {
     ),
     "fact_oos": Rules((), ("report_date", "product_id")),
 }
+
+
+@dataclass(frozen=True)
+class Reference:
+    """Each value of ``columns`` in ``table`` is one of ``target_columns`` in ``target``; a null refers to nothing."""
+
+    table: str
+    columns: tuple[str, ...]
+    target: str
+    target_columns: tuple[str, ...]
+
+    @property
+    def name(self) -> str:
+        return ",".join(self.columns)
+
+
+# Which gold column holds keys of which dimension.
+GOLD_REFERENCES = (
+    Reference("dim_products", ("aisle_id",), "dim_aisles", ("aisle_id",)),
+    Reference("dim_products", ("department_id",), "dim_departments", ("department_id",)),
+    Reference("dim_clients", ("location_area_id",), "dim_location_areas", ("area_id",)),
+    Reference("dim_stores", ("location_area_id",), "dim_location_areas", ("area_id",)),
+    Reference("dim_stores", ("store_type_id",), "dim_store_types", ("store_type_id",)),
+    Reference("fact_orders", ("report_date",), "dim_dates", ("report_date",)),
+    Reference("fact_orders", ("product_id",), "dim_products", ("product_id",)),
+    Reference("fact_orders", ("client_id",), "dim_clients", ("id",)),
+    Reference("fact_orders", ("store_id",), "dim_stores", ("store_id",)),
+    Reference("fact_oos", ("report_date",), "dim_dates", ("report_date",)),
+    Reference("fact_oos", ("product_id",), "dim_products", ("product_id",)),
+)

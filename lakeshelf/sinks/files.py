@@ -1,12 +1,17 @@
-"""File sinks. Each replaces its folder; every task writes its own files."""
+"""File sinks. Each replaces its folder; every task writes its own files.
+
+Parquet is written aside and swapped in (see ``lakeshelf.sinks.swap``), so a write that fails leaves the old rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
+from lakeshelf.sinks.swap import replace_folder
+
 
 def with_file_count(df: DataFrame, files: int | None) -> DataFrame:
     """At most ``files`` output files, or files of the advisory partition size.
@@ -27,11 +32,9 @@ _MOMENTS = {
 FILLER = "_filler"
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """CSV with header in the form that ``read_csv`` reads back value for value, in files cut to size."""
-    if len(df.columns) == 1:
-        df = df.withColumn(FILLER, F.lit(1))
-    with_file_count(df, None).write.mode("overwrite").options(
+def csv_writer(df: DataFrame, sep: str = ",") -> DataFrameWriter:
+    """A writer of CSV with header in the form that ``read_csv`` reads back value for value; ``df`` without its partition columns."""
+    return df.write.mode("overwrite").options(
         header=True,
         **_MOMENTS,
         sep=sep,
@@ -39,7 +42,14 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
         escape='"',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
-    ).csv(path)
+    )
+
+
+def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
+    """CSV in files cut to size."""
+    if len(df.columns) == 1:
+        df = df.withColumn(FILLER, F.lit(1))
+    csv_writer(with_file_count(df, None), sep).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -67,4 +77,5 @@ def write_documents(documents: DataFrame, path: str) -> None:
 
 
 def write_parquet(df: DataFrame, path: str, files: int | None = None) -> None:
-    with_file_count(df, files).write.mode("overwrite").parquet(path)
+    rows = with_file_count(df, files)
+    replace_folder(df.sparkSession, path, lambda staged: rows.write.parquet(staged))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from lakeshelf.functions import as_date, days_between
@@ -34,10 +35,15 @@ def day_path(root: str, table: str, day: str | dt.date, suffix: str = "csv") ->
 
 
 def days_glob(
-    root: str, table: str, first: str | dt.date, last: str | dt.date, suffix: str = "csv"
+    root: str,
+    table: str,
+    first: str | dt.date | None = None,
+    last: str | dt.date | None = None,
+    suffix: str = "csv",
+    days: Sequence[dt.date] | None = None,
 ) -> str:
-    """One pattern for all days of an inclusive range; only these folders are listed."""
-    days = days_between(first, last)
+    """One pattern for all days of an inclusive range, or for the given ``days``; only these folders are listed."""
+    days = days_between(first, last) if days is None else days
     if not days:
         raise ValueError(f"empty range: {first} to {last}")
     return f"{root}/{table}/{{{','.join(map(str, days))}}}/{table}.{suffix}"
