@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import importlib
 import importlib.util
+import uuid
 from collections.abc import Callable, Iterable
 from functools import partial
 
@@ -37,23 +38,27 @@ from lakeshelf.operators.calendar import (
     rows_of_days,
     spine_of,
 )
+from lakeshelf.operators.history import validity
 from lakeshelf.operators.joins import join_using, left_outer, star_sum, without_match
+from lakeshelf.operators.profile import profile_types
 from lakeshelf.operators.quality import orphan_keys, reference_violations, repeated_keys, violations
 from lakeshelf.operators.ranking import leaders_per_group, top_k, top_k_cut
 from lakeshelf.operators.rows import distinct_rows, tag_rows, union_labelled
-from lakeshelf.plans import medallion, rental
+from lakeshelf.plans import medallion, rental, star
 from lakeshelf.session import scratch_path
+from lakeshelf.sinks.buckets import write_bucketed
 from lakeshelf.sinks.days import read_days, reload_day, reload_days
 from lakeshelf.sinks.files import (
     as_array_documents,
+    write_array_document,
     write_csv,
     write_documents,
     write_json,
     write_parquet,
 )
 from lakeshelf.sources.layout import Layout, day_path
-from lakeshelf.sources.payloads import field_of_objects, read_json_numbers, read_json_objects
-from lakeshelf.sources.snapshots import read_csv, read_history, read_snapshot, read_snapshots
+from lakeshelf.sources.payloads import field_of_objects, read_json_array, read_json_numbers, read_json_objects
+from lakeshelf.sources.snapshots import read_csv, read_csv_apart, read_history, read_snapshot, read_snapshots
 from lakeshelf.sources.tables import folder_tables, orders_of_day
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -640,6 +645,80 @@ def read_one_snapshot(spark, sf_dir):
     return read_snapshot(spark, root, "supplier", EVENT_DAY, supplier.schema)
 
 
+@_query(f"""
+    WITH good AS (SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderkey % 10 <> 3)
+    SELECT 'good' AS kind, o_orderkey, o_custkey, o_orderpriority, CAST(NULL AS VARCHAR) AS record FROM good
+    UNION ALL
+    SELECT 'bad', NULL, NULL, NULL, o_orderkey || ',x' || o_custkey || ',' || o_orderpriority FROM orders WHERE o_orderkey % 10 = 3
+""")
+def csv_quarantine(spark, sf_dir):
+    """A tenth of the lines has a letter in a number; they are set aside, the others are read."""
+    orders, path = read_table(spark, sf_dir, "orders"), scratch_path(spark, "orders.csv")
+    customer = F.concat(F.when(F.col("o_orderkey") % 10 == 3, "x").otherwise(""), F.col("o_custkey").cast("string"))
+    write_csv(orders.select("o_orderkey", customer.alias("o_custkey"), "o_orderpriority"), path)
+    columns = orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+    parsed = read_csv_apart(spark, path, columns.schema, most_bad=0.2)
+    blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in columns.schema]
+    parts = {"good": parsed.good.withColumn("record", F.lit(None).cast("string")), "bad": parsed.bad.select(*blanks, "record")}
+    return union_labelled(parts, "kind")
+
+
+@_query("""
+    SELECT event_id, user_id, event_type, props, '}, {' || event_type || '"}],' AS odd_text, [{'k': event_id}, {'k': user_id}]::VARCHAR AS pairs
+    FROM events
+""")
+def json_array_split(spark, sf_dir):
+    """All events as one array in one file, read by as many tasks as the file has splits; texts and nested objects hold braces."""
+    events, path = read_table(spark, sf_dir, "events"), scratch_path(spark, "events.json")
+    odd = F.concat(F.lit("}, {"), "event_type", F.lit('"}],'))
+    pairs = F.array(*(F.struct(F.col(c).alias("k")) for c in ("event_id", "user_id")))
+    rows = events.select("event_id", "user_id", "event_type", "props", odd.alias("odd_text"), pairs.alias("pairs"))
+    write_array_document(rows, path)
+    pair = F.transform("pairs", lambda p: F.concat(F.lit("{'k': "), p["k"].cast("string"), F.lit("}")))
+    text = F.concat(F.lit("["), F.array_join(pair, ", "), F.lit("]"))
+    return read_json_array(spark, path, rows.schema).withColumn("pairs", text)
+
+
+@_query("""
+    SELECT source AS table_name, column_name, CASE
+               WHEN n_filled = 0 THEN 'string'
+               WHEN n_boolean = n_filled THEN 'boolean'
+               WHEN n_whole = n_filled THEN 'bigint'
+               WHEN n_point = n_filled THEN 'decimal(' || (greatest(left_digits, 1) + right_digits) || ',' || right_digits || ')'
+               WHEN n_float = n_filled THEN 'double'
+               WHEN n_day = n_filled THEN 'date'
+               WHEN n_moment = n_filled THEN 'timestamp'
+               ELSE 'string' END AS type, n_rows, n_filled
+    FROM (
+        SELECT source, column_name, count(*) AS n_rows, count(value) AS n_filled,
+               count(*) FILTER (regexp_matches(value, '^(true|false)$')) AS n_boolean,
+               count(*) FILTER (regexp_matches(value, '^[+-]?[0-9]{1,18}$')) AS n_whole,
+               count(*) FILTER (regexp_matches(value, '^[+-]?[0-9]{1,38}([.][0-9]{1,38})?$')) AS n_point,
+               count(*) FILTER (regexp_matches(value, '^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]{1,3})?$')) AS n_float,
+               count(*) FILTER (try_cast(value AS DATE) IS NOT NULL AND length(value) = 10) AS n_day,
+               count(*) FILTER (try_cast(value AS TIMESTAMP) IS NOT NULL) AS n_moment,
+               coalesce(max(length(regexp_extract(value, '^[+-]?0*([0-9]*)', 1))) FILTER (regexp_matches(value, '^[+-]?[0-9]{1,38}([.][0-9]{1,38})?$')), 0) AS left_digits,
+               coalesce(max(length(regexp_extract(value, '[.]([0-9]+)$', 1))) FILTER (regexp_matches(value, '^[+-]?[0-9]{1,38}([.][0-9]{1,38})?$')), 0) AS right_digits
+        FROM (
+            SELECT 'events' AS source, unnest(['event_id', 'ts', 'user_id', 'event_type', 'value', 'props', 'day', 'noisy']) AS column_name,
+                   unnest([event_id::VARCHAR, ts::VARCHAR, user_id::VARCHAR, event_type, value::VARCHAR, props, ts::DATE::VARCHAR,
+                           CASE WHEN event_id % 1000 = 7 THEN value::VARCHAR ELSE user_id::VARCHAR END]) AS value FROM events
+            UNION ALL
+            SELECT 'documents', unnest(['doc_id', 'text', 'lang', 'source', 'n_chars']),
+                   unnest([doc_id::VARCHAR, text, lang, source, n_chars::VARCHAR]) FROM documents
+        ) GROUP BY ALL
+    )
+""", name="profile_types")
+def types_of_texts(spark, sf_dir):
+    """Types of columns that are given as texts; one column holds whole numbers but for a few amounts."""
+    events, documents = (read_table(spark, sf_dir, t) for t in ("events", "documents"))
+    noisy = F.when(F.col("event_id") % 1000 == 7, F.col("value").cast("string")).otherwise(F.col("user_id").cast("string"))
+    events = events.select("*", F.col("ts").cast("date").alias("day"), noisy.alias("noisy"))
+    parts = {"events": events, "documents": documents}
+    texts = {name: df.select(*(F.col(c).cast("string").alias(c) for c in df.columns)) for name, df in parts.items()}
+    return union_labelled({name: profile_types(df) for name, df in texts.items()}, "table_name")
+
+
 # --- pipeline -------------------------------------------------------------------------------
 
 
@@ -812,6 +891,54 @@ def backfill_changed_days(spark, sf_dir):
     return join_using(facts, counts, "report_date")
 
 
+@_query("""
+    WITH snapshots AS (
+        SELECT DISTINCT CAST(ts AS DATE) - DATE '2024-01-01' AS place, user_id, event_type FROM events
+    ), runs AS (
+        SELECT *, place - row_number() OVER (PARTITION BY user_id, event_type ORDER BY place) AS run FROM snapshots
+    )
+    SELECT user_id, event_type, DATE '2024-01-01' + min(place)::INTEGER AS valid_from,
+           CASE WHEN max(place) < 29 THEN DATE '2024-01-01' + max(place)::INTEGER END AS valid_to
+    FROM runs GROUP BY user_id, event_type, run
+""")
+def dimension_history(spark, sf_dir):
+    """Which kinds of events each user had, day by day, as intervals of validity."""
+    events = read_table(spark, sf_dir, "events")
+    snapshots = events.select(F.col("ts").cast("date").alias("report_date"), "user_id", "event_type")
+    return validity(snapshots, days_between(EVENTS_FROM, EVENTS_TO))
+
+
+@_query("""
+    SELECT CAST(ts AS DATE) AS report_date, user_id AS product_id, CAST(count(*) AS BIGINT) AS quantity
+    FROM events WHERE isodow(ts) >= 6 GROUP BY CAST(ts AS DATE), user_id
+""", name="weekend_quantities")
+def quantities_of_weekends(spark, sf_dir):
+    """Facts of all days in gold; the date dimension tells at run time which folders are read."""
+    layout, events = _layout(spark), read_table(spark, sf_dir, "events")
+    facts = events.select(F.col("ts").cast("date").alias("report_date"), F.col("user_id").alias("product_id"), F.lit(1).cast("bigint").alias("quantity"))
+    days = days_between(EVENTS_FROM, EVENTS_TO)
+    reload_days(medallion.roll_up_days(facts, ["product_id"]), layout.gold_table("fact_orders"), days)
+    medallion.ensure_dates(spark, layout, days)
+    return star.weekend_quantities(spark, layout)
+
+
+@_query("""
+    SELECT o_orderpriority, l_returnflag, count(*) AS cnt, CAST(sum(l_linenumber) AS BIGINT) AS line_sum
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL
+""")
+def bucketed_join(spark, sf_dir):
+    """Orders and their lines laid out by order, then joined where they lie."""
+    orders = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"), "o_orderpriority")
+    lines = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("orderkey"), "l_returnflag", "l_linenumber")
+    laid = []
+    for name, df in (("orders", orders), ("lines", lines)):
+        table = f"{name}_{uuid.uuid4().hex}"
+        write_bucketed(df, table, scratch_path(spark, name), "orderkey", 16)
+        laid.append(spark.table(table))
+    joined = join_using(*laid, "orderkey").groupBy("o_orderpriority", "l_returnflag")
+    return joined.agg(F.count(F.lit(1)).alias("cnt"), F.sum("l_linenumber").alias("line_sum"))
+
+
 # --- the questions on rental frames -----------------------------------------------------------
 
 

@@ -27,8 +27,8 @@ from lakeshelf.sinks.swap import NEW
 from lakeshelf.session import scratch_path
 from lakeshelf.sources.files import exists, list_names, publish
 from lakeshelf.sources.layout import Layout, day_path, days_glob
-from lakeshelf.sources.payloads import read_json_numbers, read_json_objects
-from lakeshelf.sources.snapshots import day_of_file, landed_days, read_csv, read_snapshot
+from lakeshelf.sources.payloads import read_json_array, read_json_numbers, read_json_objects, read_number_array
+from lakeshelf.sources.snapshots import day_of_file, landed_days, read_csv, read_csv_apart, read_snapshot
 from lakeshelf.sources.tables import orders_of_day
 
 Day = str | dt.date
@@ -86,13 +86,20 @@ def snapshot_to_silver(
     schema: StructType | None,
     sep: str = SEPARATOR,
     files: int | None = None,
+    most_bad: float | None = None,
 ) -> DataFrame:
     """Landed snapshot without repeated rows, as Parquet; no schema means inferred types.
 
     Whole rows are compared: two order lines equal in every column, order id included,
-    become one.
+    become one. With a share ``most_bad`` lines that do not fit the schema are written to the table ``rejected_<table>`` of silver, and
+    more than that share raise before silver is touched; without it any such line raises.
     """
-    rows = read_snapshot(spark, layout.bronze, table, day, schema, sep)
+    if most_bad is None or schema is None:
+        rows = read_snapshot(spark, layout.bronze, table, day, schema, sep)
+    else:
+        parsed = read_csv_apart(spark, day_path(layout.bronze, table, day), schema, sep, most_bad=most_bad)
+        write_parquet(parsed.bad, layout.silver_table(f"rejected_{table}", day))
+        rows = parsed.good
     path = layout.silver_table(table, day)
     write_parquet(distinct_rows(rows), path, files)
     return spark.read.parquet(path)
@@ -112,13 +119,18 @@ def tables_to_silver(
     }
 
 
-def read_payload(spark: SparkSession, path: str, form: str = "objects", multi_line: bool = False) -> DataFrame:
+def read_payload(
+    spark: SparkSession, path: str, form: str = "objects", multi_line: bool = False, split: bool = False, file: str | None = None
+) -> DataFrame:
     """Out-of-stock documents of either form: arrays of objects, or ``"numbers"`` for arrays of bare ids.
 
-    ``multi_line`` is for documents spread over lines, one per file.
+    ``multi_line`` is for documents spread over lines, one per file; with ``split`` many tasks read one such document, and ``file`` names
+    a column for its path.
     """
     if form not in ("objects", "numbers"):
         raise ValueError(f"form must be 'objects' or 'numbers', not {form!r}")
+    if split:
+        return read_json_array(spark, path, file=file) if form == "objects" else read_number_array(spark, path, file=file)
     if form == "objects":
         return read_json_objects(spark, path, multi_line=multi_line)
     return read_json_numbers(spark, path, multi_line=multi_line)
@@ -131,9 +143,10 @@ def payload_to_silver(
     files: int | None = None,
     form: str = "objects",
     multi_line: bool = False,
+    split: bool = False,
 ) -> DataFrame:
     """The day's out-of-stock documents without repeated rows, as Parquet."""
-    rows = read_payload(spark, day_path(layout.bronze, "out-of-stock", day, "json"), form, multi_line)
+    rows = read_payload(spark, day_path(layout.bronze, "out-of-stock", day, "json"), form, multi_line, split)
     path = layout.silver_table("oos", day)
     write_parquet(distinct_rows(rows), path, files)
     return spark.read.parquet(path)
@@ -243,8 +256,9 @@ def run_payload_day(
     files: int | None = None,
     form: str = "objects",
     multi_line: bool = False,
+    split: bool = False,
 ) -> None:
-    silver = payload_to_silver(spark, layout, day, files, form, multi_line)
+    silver = payload_to_silver(spark, layout, day, files, form, multi_line, split)
     load_out_of_stock_day(spark, layout, silver, day, files)
 
 
@@ -326,13 +340,17 @@ def backfill_out_of_stock(
     form: str = "objects",
     multi_line: bool = False,
     changed_only: bool = False,
+    split: bool = False,
 ) -> list[dt.date]:
     """The same for ``fact_oos`` and landed payloads."""
     table = "out-of-stock"
 
     def read(days: Sequence[dt.date]) -> DataFrame:
-        payloads = read_payload(spark, days_glob(layout.bronze, table, suffix="json", days=days), form, multi_line)
-        return payloads.select(day_of_file(table), "product_id")
+        path = days_glob(layout.bronze, table, suffix="json", days=days)
+        if split:
+            payloads = read_payload(spark, path, form, split=True, file="_file")
+            return payloads.select(day_of_file(table, file="_file"), "product_id")
+        return read_payload(spark, path, form, multi_line).select(day_of_file(table), "product_id")
 
     def load(days: Sequence[dt.date]) -> None:
         reload_days(distinct_rows(read(days)), layout.gold_table("fact_oos"), days)

@@ -72,6 +72,20 @@ def as_array_documents(df: DataFrame, columns: Sequence[str], per_document: int
     return grouped.agg(F.to_json(F.collect_list("item")).alias("value")).select("value")
 
 
+def write_array_document(df: DataFrame, path: str) -> None:
+    """All rows as one JSON array in one file, an object per line, as a service sends it.
+
+    One file is written by one task. ``as_array_documents`` makes many documents instead; prefer it where the format is yours to choose.
+    """
+    text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    items = df.select(F.lit(1).alias("part"), F.monotonically_increasing_id().alias("at"), text.alias("value"))
+    first = items.agg(F.min("at")).first()[0]
+    marks = df.sparkSession.createDataFrame([(0, 0, "["), (2, 0, "]")], "part int, at bigint, value string")
+    lines = items.unionByName(marks).repartition(1).sortWithinPartitions("part", "at")
+    comma = F.when((F.col("part") == 1) & (F.col("at") != F.lit(first)), ",").otherwise("")
+    lines.select(F.concat(comma, "value").alias("value")).write.mode("overwrite").text(path)
+
+
 def write_documents(documents: DataFrame, path: str) -> None:
     documents.write.mode("overwrite").text(path)
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from lakeshelf.schemas import OUT_OF_STOCK
 
@@ -35,3 +36,98 @@ def read_json_numbers(
 def field_of_objects(items: str, field: str) -> Column:
     """The array of one field's values from an array of objects."""
     return F.transform(F.col(items), lambda item: item[field])
+
+
+def read_json_array(spark: SparkSession, path: str, schema: StructType = OUT_OF_STOCK, file: str | None = None) -> DataFrame:
+    """Rows of files that each hold one JSON array of objects, of any size and spread over lines in any way, read by many tasks.
+
+    A file is cut at every closing brace, so Spark's own splits of a text apply, and the records are put together again. Whether
+    a brace ends a record depends on all text before it: it must be outside of quotes and close the outermost object. So each split
+    first tells what it would do to quotes and depth for either state it may begin in, a window over these few sums (one row a
+    split) gives every split its state, and then each split finds its own records. Only the pieces at the two ends of a split
+    leave it, to be joined with those of its neighbours. Objects, arrays and braces inside of records may be nested and quoted at will.
+
+    One split is handled by one task (``spark.sql.files.maxPartitionBytes``), and a record by one row. What does not parse raises, as does a
+    file that holds anything else than one array of objects. With ``file`` a last column of that name has the path of each row's file.
+    """
+    split, order = ["file", "block"], "at"
+    pieces = spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("piece"),
+    )
+    plain = F.regexp_replace("piece", r"\\[\s\S]", "")
+    outside = [_unquoted(plain), _unquoted(F.regexp_replace(plain, r'^[^"]*("|\z)', ""))]
+    pieces = pieces.select(
+        *split, "at", "piece", (_count(plain, '"') % 2).alias("odd"), *(_depth(text).alias(f"depth{i}") for i, text in enumerate(outside))
+    )
+    within = Window.partitionBy(*split).orderBy(order)
+    before, upto = within.rowsBetween(Window.unboundedPreceding, -1), within.rowsBetween(Window.unboundedPreceding, 0)
+    # For a split that begins outside of quotes; "in" tells of a piece's beginning, and is the other way round if it begins inside.
+    pieces = pieces.withColumn("in", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
+
+    def change(state: int) -> Column:
+        """The depth after the piece and its brace, less the one before, if the split begins in ``state``."""
+        inside = (F.col("in") + state) % 2
+        closes = F.when((inside + F.col("odd")) % 2 == 0, 1).otherwise(0)
+        return F.when(inside == 0, F.col("depth0")).otherwise(F.col("depth1")) - closes
+
+    pieces = pieces.withColumn("change0", change(0)).withColumn("change1", change(1))
+    sums = pieces.groupBy(*split).agg(*(F.sum(c).alias(c) for c in ("odd", "change0", "change1")))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("state", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
+    own = F.when(F.col("state") == 0, F.col("change0")).otherwise(F.col("change1"))
+    sums = sums.select(*split, "state", F.coalesce(F.sum(own).over(earlier), F.lit(0)).alias("depth"))
+    known = pieces.join(sums, split)
+    own = F.when(F.col("state") == 0, F.col("change0")).otherwise(F.col("change1"))
+    known = known.withColumn("depth", F.col("depth") + F.sum(own).over(upto))
+    ends = ((F.col("in") + F.col("odd") + F.col("state")) % 2 == 0) & (F.col("depth") == 1)
+    known = known.withColumn("ends", ends.cast("int"))
+    known = known.withColumn("nth", F.coalesce(F.sum("ends").over(before), F.lit(0)))
+
+    runs = _joined(known, [*split, "nth"], "at")
+    inner = (F.col("ends") == 1) & (F.col("nth") > 0)
+    rest = runs.where(~inner)
+    stitch = Window.partitionBy("file").orderBy("block", "nth").rowsBetween(Window.unboundedPreceding, -1)
+    rest = rest.withColumn("run", F.coalesce(F.sum("ends").over(stitch), F.lit(0)))
+    rest = _joined(rest.withColumn("place", F.struct("block", "nth")), ["file", "run"], "place")
+    # What follows the last record lies here, too; a file without that ends too early.
+    rest = rest.withColumn("closed", F.min("ends").over(Window.partitionBy("file")) == 0)
+    records = runs.where(inner).select("file", "piece", "ends", F.lit(True).alias("closed"))
+    records = records.unionByName(rest.select("file", "piece", "ends", "closed"))
+    head = F.regexp_replace("piece", r"^\s*[\[,]?\s*", "")
+    wrong = F.raise_error(F.lit("a file does not hold one array of objects"))
+    record = F.when(~F.col("closed"), wrong).when((F.col("ends") == 1) & head.startswith("{"), F.concat(head, F.lit("}")))
+    record = record.when((F.col("ends") == 0) & F.col("piece").rlike(r"^\s*(\[\s*)?\]\s*$"), F.lit(None)).otherwise(wrong)
+    rows = records.select("file", record.alias("record")).where("record IS NOT NULL")
+    rows = rows.select("file", F.from_json("record", schema, {"mode": "FAILFAST"}).alias("row"))
+    return rows.select("row.*", *([F.col("file").alias(file)] if file else []))
+
+
+def _joined(pieces: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Pieces of one record put together, with the braces they were cut at."""
+    listed = pieces.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(order, "piece"))).alias("pieces"), F.max("ends").alias("ends"))
+    return listed.select(*by, F.array_join(F.transform("pieces", lambda p: p["piece"]), "}").alias("piece"), "ends")
+
+
+def _count(text: Column, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
+
+
+def _unquoted(text: Column) -> Column:
+    return F.regexp_replace(text, r'"[^"]*("|\z)', "")
+
+
+def _depth(text: Column) -> Column:
+    return _count(text, "{") + _count(text, "[") - _count(text, "]")
+
+
+def read_number_array(spark: SparkSession, path: str, name: str = "product_id", file: str | None = None) -> DataFrame:
+    """Rows of files that each hold one array of bare whole numbers, cut at commas and so read by many tasks."""
+    value = F.regexp_replace("value", r"^[\s\[]+|[\s\]]+$", "")
+    number = value.try_cast("bigint")
+    wrong = F.raise_error(F.concat(F.lit("not a whole number: "), value)).cast("bigint")
+    items = spark.read.option("lineSep", ",").text(path).where(value != "")
+    number = F.when(number.isNotNull() | (value == "null"), number).otherwise(wrong)
+    return items.select(number.alias(name), *([F.col("_metadata.file_path").alias(file)] if file else []))
