@@ -3,7 +3,7 @@
 Vectors get one more component that makes all of them equally long (the greatest length, which one
 aggregation finds), queries a zero: the largest inner product is then the smallest distance. Eight
 Gaussian projections of these vectors are indexed by a kd-tree per block of rows. A query takes the
-leaves in the order of their projected distance and verifies their vectors by exact inner products.
+leaves in the order of their projected distance, in rounds of growing length, and verifies their vectors by exact inner products.
 A vector at distance d has a projected distance whose square is d * d times a chi-square variable of
 eight degrees, so the search ends at projected distance r when a vector as near as the k-th best one so far
 would have been met before r with probability ``SURE``.
@@ -32,6 +32,8 @@ from lakeshelf.llm.stored import stored
 
 PROJECTIONS, SURE, LEAF = 8, 0.99, 64
 ROWS, QUERIES = 16_384, 1_024
+#: Leaves of the first round of a search; each round is twice as long as the one before, and some more.
+FIRST = 4
 NEIGHBOURS = 20
 
 
@@ -59,6 +61,27 @@ def leaves(points: np.ndarray, size: int = LEAF) -> list[np.ndarray]:
     return done
 
 
+def _verify(vectors, ids, members, queries, own, who, margins, best, best_ids) -> None:
+    """Put the ``members`` that are among the best of the queries ``who`` into ``best`` and ``best_ids``."""
+    # A matrix product finds what can be among the best; its rounding differs from the sums' below by far less than the margin.
+    near = queries[who] @ vectors[members].T >= (best[who, -1] - margins[who])[:, None]
+    near &= own[who, None] != ids[members]
+    better = near.any(axis=1)
+    who, near = who[better], near[better]
+    if not len(who):
+        return
+    # Sums in one fixed order, so that equal vectors have equal scores.
+    at, of = np.nonzero(near)
+    scores = np.full(near.shape, -np.inf)
+    scores[at, of] = np.einsum("nd,nd->n", queries[who[at]], vectors[members[of]], optimize=False)
+    k = best.shape[1]
+    all_scores = np.hstack([best[who], scores])
+    all_ids = np.hstack([best_ids[who], np.broadcast_to(ids[members], scores.shape)])
+    rank = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
+    best[who] = np.take_along_axis(all_scores, rank, axis=1)
+    best_ids[who] = np.take_along_axis(all_ids, rank, axis=1)
+
+
 def search_block(
     vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, longest: float, sure: float = SURE
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -83,33 +106,26 @@ def search_block(
     way = np.argsort(bound, axis=1, kind="stable")
     bound = np.take_along_axis(bound, way, axis=1)
     lengths = (queries * queries).sum(axis=1)
+    margins = 1e-12 * np.sqrt(lengths) * longest
     best = np.full((len(queries), k), -np.inf)
     best_ids = np.full((len(queries), k), np.iinfo(np.int64).max)
     active = np.arange(len(queries))
-    for step in range(len(groups)):
+    # In rounds of doubling length, so that the queries that turn to one leaf in a round are compared with it together.
+    low, high = 0, FIRST
+    while low < len(groups) and len(active):
         kth = best[active, -1]
-        squared = np.maximum(lengths[active] + longest**2 - 2 * kth, 1e-300)  # infinite while fewer than k are known
+        squared = np.maximum(lengths[active] + longest**2 - 2 * kth, 1e-300)[:, None]  # infinite while fewer than k are known
         with np.errstate(invalid="ignore"):
-            active = active[~(chi_square(bound[active, step] / squared) >= sure)]
-        if not len(active):
-            break
-        at = way[active, step]
+            goes_on = ~(chi_square(bound[active, low:high] / squared) >= sure)
+        place, nth = np.nonzero(goes_on)
+        who, at = active[place], way[active[place], low + nth]
+        active = active[goes_on[:, 0]]
         turn = np.argsort(at, kind="stable")
-        cuts = np.flatnonzero(np.diff(at[turn])) + 1
-        for who in np.split(active[turn], cuts):
-            members = groups[way[who[0], step]]
-            # Sums in one fixed order, so that equal vectors have equal scores.
-            scores = np.einsum("qd,vd->qv", queries[who], vectors[members], optimize=False)
-            scores[own[who, None] == ids[members]] = -np.inf
-            better = (scores >= best[who, -1, None]).any(axis=1)
-            who, scores = who[better], scores[better]
-            if not len(who):
-                continue
-            all_scores = np.hstack([best[who], scores])
-            all_ids = np.hstack([best_ids[who], np.broadcast_to(ids[members], scores.shape)])
-            rank = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
-            best[who] = np.take_along_axis(all_scores, rank, axis=1)
-            best_ids[who] = np.take_along_axis(all_ids, rank, axis=1)
+        who, at = who[turn], at[turn]
+        cuts = np.flatnonzero(np.diff(at)) + 1
+        for some, leaf in zip(np.split(who, cuts), at[np.append(0, cuts)] if len(at) else []):
+            _verify(vectors, ids, groups[leaf], queries, own, some, margins, best, best_ids)
+        low, high = high, 2 * high + FIRST
     return best_ids, best
 
 
