@@ -885,10 +885,10 @@ def backfill_changed_days(spark, sf_dir):
         )
         medallion.land_days(lines.repartition(order), layout.bronze, "orders")
         days = medallion.backfill_orders(spark, layout, EVENTS_FROM, EVENTS_TO, missing="skip", changed_only=True)
-        loads += [(day,) for day in days]
+        loads += days
     facts = read_days(spark, layout.gold_table("fact_orders"), EVENTS_FROM, EVENTS_TO)
-    counts = count_rows(spark.createDataFrame(loads, "report_date date"), ["report_date"], "loads")
-    return join_using(facts, counts, "report_date")
+    loaded = spark.range(1).select(F.explode(F.array(*map(F.lit, loads))).alias("report_date"))
+    return join_using(facts, count_rows(loaded, ["report_date"], "loads"), "report_date")
 
 
 @_query("""

@@ -25,7 +25,8 @@ def validity(history: DataFrame, days: Sequence[str | dt.date], day: str = "repo
     landed = sorted({as_date(d) for d in days})
     if not landed:
         raise ValueError("no landed day")
-    calendar = history.sparkSession.createDataFrame([(d, i) for i, d in enumerate(landed)], "_landed date, _place int")
+    dates = F.array(*(F.lit(d) for d in landed))
+    calendar = history.sparkSession.range(1).select(F.posexplode(dates).alias("_place", "_landed"))
     columns = [c for c in history.columns if c != day]
     placed = history.join(calendar, F.col(day).cast("date") == F.col("_landed"))
     rows = placed.groupBy(*columns).agg(F.sort_array(F.collect_set("_place")).alias("_places"))
@@ -35,7 +36,6 @@ def validity(history: DataFrame, days: Sequence[str | dt.date], day: str = "repo
         return F.filter("_places", lambda x, i: F.coalesce(F.get("_places", i + step) != x + step, F.lit(True)))
 
     runs = F.arrays_zip(alone(-1).alias("first"), alone(1).alias("last"))
-    dates = F.array(*(F.lit(d) for d in landed))
     last = F.when(F.col("_run.last") < len(landed) - 1, F.get(dates, F.col("_run.last")))
     spread = rows.select(*columns, F.explode(runs).alias("_run"))
     return spread.select(*columns, F.get(dates, F.col("_run.first")).alias("valid_from"), last.alias("valid_to"))
