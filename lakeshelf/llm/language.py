@@ -6,16 +6,22 @@ run of other characters is one blank, so digits, markup and punctuation say noth
 language. A string is a 60-bit key (12 bits a symbol; letters from U+0C00 on are hashed to 1024
 symbols), which makes contexts and suffixes shifts and masks.
 
-Counts of orders below five are continuation counts, so they follow from the five-symbol strings.
-The driver gets the most frequent strings only (``MAX_STRINGS`` over all languages; counting itself
-leaves nothing out) and turns them into sorted key arrays with one log-probability column per
-language. That model, of bounded size, is broadcast; scoring looks up every position of the whole
-text. A text has the language with the lowest cross-entropy per symbol.
+Counts of orders below five are continuation counts, so they follow from the five-symbol strings, by
+groupings in Spark; discounts come from all strings, too. No string is left out and no count is
+clipped, so the model grows with the texts. It is never gathered in one place: strings are cut into
+shards by the two symbols before their last one, which all strings and contexts of two symbols and
+more that a look-up needs have in common. What is shorter (pairs of symbols and single symbols, at most
+4096 squared of them) goes to every shard. Shards are sorted arrays with one log-probability column
+per language.
+
+Documents are spread over parts. A part asks each shard for the distinct strings of its texts, gets
+their log-probabilities back, and adds them up over every position of the whole texts. A text has the
+language with the lowest cross-entropy per symbol.
 
 Rejection is calibrated on a tenth of the training texts, which the models do not see: a text is
 rejected if its cross-entropy lies further above its language's mean than the ``QUANTILE`` of these
 texts do, in units that allow for short texts, times ``SLACK``, and also by ``MARGIN`` nats a symbol; so is a
-text without a letter.
+text without a letter. Texts whose label differs from their prediction calibrate nothing.
 
 Defined cases: text null, empty or without a letter gives ``und`` with score 0, rejected; rows that
 repeat a document are scored one by one; a null id counts as neither held out nor training row; without training
@@ -24,8 +30,9 @@ rows every text is ``und``, and only one without a letter is rejected. Only the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +40,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshelf.llm.stored import stored
+from lakeshelf.llm.stored import parts_for, stored
 from lakeshelf.llm.words import by_bytes
 
 ORDER, BITS = 5, 12
 MASK = (1 << BITS) - 1
-#: Strings in the model, over all languages together.
-MAX_STRINGS = 400_000
-MAX_LANGUAGES = 256
+#: Bytes of text in a part, and numbers (strings by languages) that a shard or its answers should hold. They set the
+#: sizes of tasks only.
+PART, CELLS = 16 << 20, 4_000_000
+#: Languages from which on parts get smaller, since each string's answer gets longer.
+WIDE = 16
 QUANTILE, SLACK, MARGIN = 0.9995, 1.5, 1.25
 #: Bytes of text that are worked on at once; several numbers per character are held for them.
 SLICE = 1 << 20
@@ -136,32 +145,30 @@ def _counts(lang: str, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys, pa.int64()), pa.array(n, pa.int64())], ["lang", "gram", "n"])
 
 
-def frequent_strings(counts: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Per language its most frequent strings (sorted keys, counts): all above the count that keeps within the bound."""
-    most = F.least("n", F.lit(10_000)).alias("n")
-    levels: dict[str, list[tuple[int, int]]] = {}
-    for lang, n, kinds in counts.groupBy("lang", most).count().collect():
-        levels.setdefault(lang, []).append((n, kinds))
-    if not levels:
-        return {}
-    if len(levels) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    least, room = {}, MAX_STRINGS // len(levels)
-    for lang, found in levels.items():
-        total = 0
-        for n, kinds in sorted(found, reverse=True):
-            if total and total + kinds > room:
-                break
-            total, least[lang] = total + kinds, n
-    enough = F.create_map(*(F.lit(x) for pair in least.items() for x in pair))
-    table = counts.where(F.col("n") >= enough[F.col("lang")]).toArrow()
-    out = {}
-    for lang in sorted(least):
-        rows = table.filter(pc.equal(table.column("lang"), lang))
-        keys, n = (rows.column(c).to_numpy() for c in ("gram", "n"))
-        order = np.argsort(keys)
-        out[lang] = keys[order], n[order].astype(np.float64)
-    return out
+@dataclass(frozen=True)
+class Counts:
+    """What is learned: the strings (lang, gram, n), shorter ones (level, lang, gram, n), discounts by order and language."""
+
+    languages: list[str]
+    strings: DataFrame
+    short: DataFrame
+    discounts: np.ndarray
+    alphabet: int
+    n_strings: int
+
+
+def _suffix(order: int) -> int:
+    return (1 << (BITS * order)) - 1
+
+
+def _discount(ones: float, twos: float) -> float:
+    return ones / (ones + 2 * twos) if ones and twos else 0.5
+
+
+def continuations(longer: DataFrame, order: int) -> DataFrame:
+    """(lang, gram, n): in how many strings of the next order each string of ``order`` symbols is the end."""
+    gram = F.col("gram").bitwiseAND(F.lit(_suffix(order))).alias("gram")
+    return longer.groupBy("lang", gram).agg(F.count(F.lit(1)).alias("n"))
 
 
 @dataclass(frozen=True)
@@ -193,19 +200,20 @@ class Model:
         out[rest] = carried + self.unknown
         return out
 
-    def cross_entropies(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols per text, and nats per symbol by language."""
-        grams, bounds = keys_of(texts)
-        n = np.diff(bounds)
-        total = np.zeros((len(n), len(self.languages)))
-        step = 1 << 18  # bounds the memory of one look-up, whatever the length of a text
-        for low in range(0, len(grams), step):
-            part = self.position_scores(grams[low : low + step])
-            inside = np.clip(bounds, low, low + len(part))
-            owners = np.repeat(np.arange(len(n)), np.diff(inside))
-            for j in range(total.shape[1]):
-                total[:, j] -= np.bincount(owners, part[:, j], len(n))
-        return n, total / np.maximum(n, 1)[:, None]
+
+def cross_entropies(texts: pa.Array, position_scores: Callable[[np.ndarray], np.ndarray], n_languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols per text, and nats per symbol by language."""
+    grams, bounds = keys_of(texts)
+    n = np.diff(bounds)
+    total = np.zeros((len(n), n_languages))
+    step = 1 << 18  # bounds the memory of one look-up, whatever the length of a text
+    for low in range(0, len(grams), step):
+        part = position_scores(grams[low : low + step])
+        inside = np.clip(bounds, low, low + len(part))
+        owners = np.repeat(np.arange(len(n)), np.diff(inside))
+        for j in range(n_languages):
+            total[:, j] -= np.bincount(owners, part[:, j], len(n))
+    return n, total / np.maximum(n, 1)[:, None]
 
 
 def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,17 +222,25 @@ def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, (table[at] == keys) if len(table) else np.zeros(len(keys), bool)
 
 
-def build_model(strings: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
-    """Interpolated Kneser-Ney over the strings of each language; one absolute discount per order and language."""
+def build_model(
+    strings: dict[str, tuple[np.ndarray, np.ndarray]],
+    short: dict[int, dict[str, tuple[np.ndarray, np.ndarray]]] | None = None,
+    discounts: np.ndarray | None = None,
+    alphabet: int | None = None,
+) -> Model:
+    """Interpolated Kneser-Ney over the strings of each language (sorted keys, counts); one absolute discount per order and language.
+
+    With ``short`` (orders one and two of all strings), ``discounts`` and ``alphabet`` given, ``strings`` may be those of a shard.
+    """
     languages = list(strings)
     grams: list[dict[str, tuple[np.ndarray, np.ndarray]]] = [{} for _ in range(ORDER)]
     for lang, (keys, n) in strings.items():
         grams[ORDER - 1][lang] = keys, n
         for order in range(ORDER - 1, 0, -1):
-            longer = grams[order][lang][0]
-            suffix, kinds = _added(longer & ((1 << (BITS * order)) - 1))
-            grams[order - 1][lang] = suffix, kinds.astype(np.float64)
-    alphabet = max(2, len(np.unique(np.concatenate([grams[0][lang][0] for lang in languages]))) + 1)
+            suffix, kinds = _added(grams[order][lang][0] & _suffix(order))
+            grams[order - 1][lang] = short[order][lang] if short and order in short else (suffix, kinds.astype(np.float64))
+    if alphabet is None:
+        alphabet = max(2, len(np.unique(np.concatenate([grams[0][lang][0] for lang in languages]))) + 1)
     unknown = np.full(len(languages), 1.0 / alphabet)
     all_keys, all_p, all_contexts, all_w = [], [], [], []
     for order in range(1, ORDER + 1):
@@ -234,8 +250,7 @@ def build_model(strings: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
         p, w = np.zeros((len(keys), len(languages))), np.ones((len(contexts), len(languages)))
         for j, lang in enumerate(languages):
             own, n = here[lang]
-            ones, twos = (n == 1).sum(), (n == 2).sum()
-            discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+            discount = _discount((n == 1).sum(), (n == 2).sum()) if discounts is None else discounts[order - 1, j]
             context, of = np.unique(own >> BITS, return_inverse=True)
             total = np.bincount(of, n)
             at = np.searchsorted(contexts, context)
@@ -243,7 +258,7 @@ def build_model(strings: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
             p[np.searchsorted(keys, own), j] = np.maximum(n - discount, 0) / total[of]
         lower = np.broadcast_to(unknown, p.shape)
         if order > 1:
-            at, hit = _found(all_keys[-1], keys & ((1 << (BITS * (order - 1))) - 1))
+            at, hit = _found(all_keys[-1], keys & _suffix(order - 1))
             lower = all_p[-1][at]  # the suffix of every string is there, since counts come from it
         p += w[np.searchsorted(contexts, keys >> BITS)] * lower
         all_keys.append(keys), all_p.append(p), all_contexts.append(contexts), all_w.append(w)
@@ -251,6 +266,23 @@ def build_model(strings: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     return Model(languages, all_keys, logs, all_contexts, [np.log(w).astype(np.float32) for w in all_w], np.log(unknown).astype(np.float32))
 
 
+def _by_language(table: pa.Table, languages: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Sorted keys and counts of each language."""
+    lang, keys, n = (table.column(c).to_numpy() for c in ("lang", "gram", "n"))
+    order = np.lexsort((keys, lang))
+    lang, keys, n = lang[order], keys[order], n[order].astype(np.float64)
+    bounds = np.searchsorted(lang, np.arange(len(languages) + 1))
+    return {name: (keys[low:high], n[low:high]) for name, low, high in zip(languages, bounds[:-1], bounds[1:])}
+
+
+def _shard(grams, shards: int):
+    """Shard by the two symbols before the last one; works on columns and on arrays alike (no product passes 2 ** 56)."""
+    if isinstance(grams, np.ndarray):
+        return ((grams >> BITS & _suffix(2)) * 0x9E3779B1 >> 16) % shards
+    pair = F.shiftright(grams, BITS).bitwiseAND(F.lit(_suffix(2)))
+    return F.shiftright(pair * F.lit(0x9E3779B1), 16) % F.lit(shards).cast("bigint")
+
+
 def _checksum(doc_id: str):
     return F.crc32(F.col(doc_id).cast("string").cast("binary"))
 
@@ -265,57 +297,154 @@ def use(doc_id: str, lang: str):
     return F.when(learns & (F.floor(_checksum(doc_id) / 3) % 10 == 0), "calibrate").when(learns, "fit")
 
 
-def train(rows: DataFrame) -> Model | None:
-    """The model of ``rows`` (lang, text); rows without language or text are left out."""
-    counts = stored(count_strings(rows.where("lang IS NOT NULL AND text IS NOT NULL")), "strings")
-    strings = frequent_strings(counts)
-    return build_model(strings) if strings else None
-
-
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` (text and any other columns) with lang_pred, score, entropy (nats a symbol) and n_symbols."""
-    names = docs.columns
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_STRINGS rows an order
-
-    def predict(batches) -> Iterator[pa.RecordBatch]:
-        model = shared.value or Model([], [], [], [], [], np.zeros(0, np.float32))
-        labels = pa.array([*model.languages, "und"], pa.string())
-        for whole in batches:
-            for batch in by_bytes(whole, 0, SLICE):
-                if not model.languages:
-                    n = np.diff(keys_of(batch.column(0))[1])
-                    und, zero, none = pa.repeat("und", len(n)), pa.array(np.zeros(len(n))), pa.nulls(len(n), pa.float64())
-                    yield pa.RecordBatch.from_arrays(
-                        [*batch.columns[1:], und, zero, none, pa.array(n.astype(np.int64))],
-                        [*batch.schema.names[1:], "lang_pred", "score", "entropy", "n_symbols"],
-                    )
-                    continue
-                n, entropies = model.cross_entropies(batch.column(0))
-                best = np.argmin(entropies, axis=1)
-                lowest = entropies[np.arange(len(best)), best]
-                gain = np.exp((lowest[:, None] - entropies) * np.minimum(n, SURE)[:, None])
-                sure = 1 / gain.sum(axis=1)
-                some = n > 0
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *batch.columns[1:],
-                        labels.take(pa.array(np.where(some, best, len(model.languages)))),
-                        pa.array(np.where(some, sure, 0.0)),
-                        pa.array(lowest, mask=~some),
-                        pa.array(n.astype(np.int64)),
-                    ],
-                    [*batch.schema.names[1:], "lang_pred", "score", "entropy", "n_symbols"],
-                )
-
-    rest = [f"`{c}`" for c in names if c != "text"]
-    kept = docs.select(F.col("text").alias("_scored"), *rest)
-    schema = kept.drop("_scored").schema.add("lang_pred", "string").add("score", "double").add("entropy", "double").add("n_symbols", "long")
-    return kept.mapInArrow(predict, schema)
+def train(rows: DataFrame) -> Counts | None:
+    """What ``rows`` (lang, text) teach; rows without language or text are left out."""
+    strings = stored(count_strings(rows.where("lang IS NOT NULL AND text IS NOT NULL")), "strings")
+    levels = {ORDER: strings}
+    for order in range(ORDER - 1, 0, -1):
+        levels[order] = continuations(levels[order + 1], order)
+
+    def levelled(orders) -> DataFrame:
+        named = [levels[order].select(F.lit(order).alias("level"), "lang", "gram", "n") for order in orders]
+        return reduce(DataFrame.unionByName, named)
+
+    short = stored(levelled((2, 1)), "short")
+    every = levelled(range(ORDER, 2, -1)).unionByName(short)
+    # Five rows per language.
+    known = every.groupBy("level", "lang").agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count(F.lit(1))).collect()
+    if not known:
+        return None
+    languages = sorted({lang for _, lang, *_ in known})
+    discounts = np.zeros((ORDER, len(languages)))
+    place = {lang: j for j, lang in enumerate(languages)}
+    for level, lang, ones, twos, _ in known:
+        discounts[level - 1, place[lang]] = _discount(ones, twos)
+    alphabet = max(2, short.where("level = 1").select("gram").distinct().count() + 1)
+    n_strings = sum(kinds for level, *_, kinds in known if level == ORDER)
+    return Counts(languages, strings, short, discounts, alphabet, n_strings)
+
+
+def _judged(others: list, labels: list[str], n: np.ndarray, entropies: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    """Rows of the result from symbols per text and nats per symbol by language."""
+    und = pa.array([*labels, "und"], pa.string())
+    best, lowest, sure = np.zeros(len(n), np.int64), np.zeros(len(n)), np.zeros(len(n))
+    some = (n > 0) & bool(labels)
+    if labels:
+        best = np.argmin(entropies, axis=1)
+        lowest = entropies[np.arange(len(best)), best]
+        sure = 1 / np.exp((lowest[:, None] - entropies) * np.minimum(n, SURE)[:, None]).sum(axis=1)
+    columns = [und.take(pa.array(np.where(some, best, len(labels)))), pa.array(np.where(some, sure, 0.0)), pa.array(lowest, mask=~some)]
+    return pa.RecordBatch.from_arrays([*others, *columns, pa.array(n.astype(np.int64))], names)
+
+
+def score(docs: DataFrame, model: Counts | None, text: str = "text", spread: str | None = None) -> DataFrame:
+    """``docs`` (any columns) with lang_pred, score, entropy (nats a symbol) and n_symbols.
+
+    ``text`` names the text: a column, which the result lacks, or the field of a struct (``a.b``), which stays. ``spread`` names
+    a column or field that tells rows apart (an id), so that copies of a text do not meet in one part; rows without it are spread
+    by their text.
+    """
+    inside = text.partition(".")[2]
+    rest = [c for c in docs.columns if inside or c != text]
+    schema = docs.select(*(F.col(f"`{c}`") for c in rest)).schema
+    for name, kind in (("lang_pred", "string"), ("score", "double"), ("entropy", "double"), ("n_symbols", "long")):
+        schema = schema.add(name, kind)
+    languages = model.languages if model else []
+    shards = max(1, -(-model.n_strings * len(languages) // CELLS)) if model else 1
+    n_parts = parts_for(docs, text, PART * WIDE // max(WIDE, len(languages)))
+    # Neighbouring parts ask together, as many as give a task about as many numbers as a shard has.
+    asking = max(1, 2 * CELLS * shards // (min(model.n_strings, 1 << 18) * len(languages))) if model else 1
+    blocks = -(-n_parts // asking)
+    by = F.xxhash64(F.col(spread), F.when(F.col(spread).isNull(), F.col(text))) if spread else F.xxhash64(F.col(text))
+    first = text.partition(".")[0] if inside else text
+    placed = docs.select(F.pmod(by, F.lit(n_parts)).alias("_part"), F.col(first), *(F.col(f"`{c}`") for c in rest if c != first))
+    order = ["_part", first, *(c for c in rest if c != first)]
+    taken = [order.index(c) for c in rest]
+
+    def slices(table: pa.Table) -> Iterator[tuple[pa.Array, pa.RecordBatch]]:
+        """Texts and rows, about ``SLICE`` bytes of text at a time."""
+        for whole in table.to_batches():
+            texts = pc.struct_field(whole.column(1), inside) if inside else whole.column(1)
+            both = pa.RecordBatch.from_arrays([texts, *whole.columns], [str(i) for i in range(whole.num_columns + 1)])
+            for batch in by_bytes(both, 0, SLICE):
+                yield batch.column(0), batch
+
+    def result(batch: pa.RecordBatch, n: np.ndarray, entropies: np.ndarray) -> pa.RecordBatch:
+        return _judged([batch.column(1 + i) for i in taken], languages, n, entropies, schema.names)
+
+    if model is None:
+
+        def reject(batches) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for texts, batch in slices(pa.Table.from_batches([whole])):
+                    n = np.diff(keys_of(texts)[1])
+                    yield result(batch, n, np.zeros((len(n), 0)))
+
+        return placed.mapInArrow(reject, schema)
+
+    def asked(table: pa.Table) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+        """The distinct strings of a part, and which of them each shard is asked for."""
+        found = [np.unique(keys_of(texts)[0]) for texts, _ in slices(table)]
+        grams = np.unique(np.concatenate(found))
+        shard = _shard(grams, shards)
+        by_shard = np.argsort(shard, kind="stable")
+        numbers, starts = np.unique(shard[by_shard], return_index=True)
+        return grams, list(zip(numbers.tolist(), np.split(by_shard, starts[1:])))
+
+    def ask(key: tuple, table: pa.Table) -> pa.Table:
+        grams, wanted = asked(table)
+        part = key[0].as_py()
+        rows = [(shard, part // asking, part, grams[at].tobytes()) for shard, at in wanted]
+        columns = list(zip(*rows)) or [()] * 4
+        return pa.table([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())], names=["shard", "block", "part", "grams"])
+
+    discounts, alphabet = model.discounts, model.alphabet
+
+    def answer(key: tuple, questions: pa.Table, counts: pa.Table) -> pa.Table:
+        parts, found = [], []
+        if questions.num_rows:
+            levels = {level: _by_language(counts.filter(pc.equal(counts.column("level"), level)), languages) for level in (ORDER, 2, 1)}
+            model = build_model(levels.pop(ORDER), levels, discounts, alphabet)
+            step = max(1, CELLS // len(languages))
+            for part, grams in zip(questions.column("part").to_pylist(), questions.column("grams").to_pylist()):
+                grams = np.frombuffer(grams, np.int64)
+                parts.append(part)
+                found.append(b"".join(model.position_scores(grams[low : low + step]).tobytes() for low in range(0, len(grams), step)))
+        shard = [key[0].as_py()] * len(parts)
+        return pa.table([pa.array(parts, pa.int64()), pa.array(shard, pa.int64()), pa.array(found, pa.binary())], names=["part", "shard", "scores"])
+
+    def finish(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        grams, wanted = asked(table)
+        held = dict(zip(answers.column("shard").to_pylist(), answers.column("scores").to_pylist()))
+        scores = np.empty((len(grams), len(languages)), np.float32)
+        for shard, at in wanted:
+            scores[at] = np.frombuffer(held.pop(shard), np.float32).reshape(len(at), len(languages))
+        out = []
+        for texts, batch in slices(table):
+            n, entropies = cross_entropies(texts, lambda keys: scores[np.searchsorted(grams, keys)], len(languages))
+            out.append(result(batch, n, entropies))
+        return pa.Table.from_batches(out)
+
+    tasks = F.lit(blocks - 1).cast("bigint")
+    number = F.create_map(*(x for lang, j in zip(languages, range(len(languages))) for x in (F.lit(lang), F.lit(j))))[F.col("lang")]
+    all_blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), tasks)).alias("block")
+    counted = ("level", number.alias("lang"), "gram", "n")
+    long = model.strings.withColumn("level", F.lit(ORDER)).select(_shard(F.col("gram"), shards).alias("shard"), all_blocks, *counted)
+    all_shards = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard")
+    low = model.short.select(all_shards, *counted).select("shard", all_blocks, "level", "lang", "gram", "n")
+    questions = placed.groupBy("_part").applyInArrow(ask, "shard bigint, block bigint, part bigint, grams binary")
+    answers = questions.groupBy("shard", "block").cogroup(long.unionByName(low).groupBy("shard", "block"))
+    answers = answers.applyInArrow(answer, "part bigint, shard bigint, scores binary")
+    return placed.groupBy("_part").cogroup(answers.groupBy("part")).applyInArrow(finish, schema)
 
 
 def with_rejection(scored: DataFrame) -> DataFrame:
-    """``scored`` (a stored table) with ``rejected``; thresholds per language come from its rows with ``use`` "calibrate"."""
+    """``scored`` (a stored table) with ``rejected``.
+
+    Thresholds per language come from its rows with ``use`` "calibrate" and, if it has ``lang``, a prediction that agrees with it.
+    """
     known = scored.where("use = 'calibrate' AND n_symbols > 0")
+    known = known.where("lang = lang_pred") if "lang" in scored.columns else known
     means = known.groupBy("lang_pred").agg(F.avg("entropy").alias("_mean"))
     above = F.col("entropy") - F.col("_mean")
     scaled = above * F.sqrt(F.least("n_symbols", F.lit(400)))

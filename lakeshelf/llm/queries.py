@@ -66,7 +66,7 @@ def op3_pack_windows(spark, sf_dir):
 def op4_language(spark, sf_dir):
     docs = _documents(spark, sf_dir, "doc_id", "text", "lang").withColumn("use", language.use("doc_id", "lang"))
     model = language.train(docs.where("use = 'fit'"))
-    scored = stored(language.score(docs.select("doc_id", "use", "text"), model), "languages")
+    scored = stored(language.score(docs.select("doc_id", "use", "lang", "text"), model, spread="doc_id"), "languages")
     return language.with_rejection(scored).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 

@@ -180,6 +180,69 @@ def test_probabilities_sum_to_one():
         assert np.allclose(known + unseen, 1, atol=1e-4)
 
 
+def plain_kneser_ney(texts):
+    """Log-probability of a symbol after four others by one language's ``texts``, from dictionaries; and the symbols seen."""
+    levels = {5: Counter(g for t in texts for g in strings_of(t))}
+    for order in (4, 3, 2, 1):
+        levels[order] = Counter(g[1:] for g in levels[order + 1])
+    sums, kinds, discounts = {}, {}, {}
+    for order, counts in levels.items():
+        ones, twos = (sum(n == x for n in counts.values()) for x in (1, 2))
+        discounts[order] = ones / (ones + 2 * twos) if ones and twos else 0.5
+        sums[order], kinds[order] = Counter(), Counter(g[:-1] for g in counts)
+        for g, n in counts.items():
+            sums[order][g[:-1]] += n
+
+    def probability(gram, unknown):
+        if not gram:
+            return unknown
+        order, head, lower = len(gram), gram[:-1], probability(gram[1:], unknown)
+        if not sums[order][head]:
+            return lower
+        own = max(levels[order][gram] - discounts[order], 0) if gram in levels[order] else 0
+        return (own + discounts[order] * kinds[order][head] * lower) / sums[order][head]
+
+    return probability, set(levels[1])
+
+
+def strings_of(text):
+    letters = re.sub(r"[^a-zäöü]+", " ", text.lower())
+    return [("    " + letters)[i : i + 5] for i in range(len(letters))]
+
+
+def test_language_equals_plain_kneser_ney_over_many_shards(spark, monkeypatch):
+    rnd = random.Random(5)
+    words = {lang: ["".join(rnd.choices(letters, k=rnd.randint(1, 6))) for _ in range(80)] for lang, letters in (("x", "abcde"), ("y", "cdefä"), ("z", "aeöü"))}
+    rows = [(i, " ".join(rnd.choices(words["xyz"[i % 3]], k=rnd.randint(1, 60))), "xyz"[i % 3]) for i in range(150)]
+    rows += [(1000, "b" * 400 + " qqq", None), (1001, "Ä1ö", None), (1002, "", None), (1003, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    monkeypatch.setattr(language, "CELLS", 500)
+    monkeypatch.setattr(language, "PART", 2000)
+    learned = language.train(docs)
+    assert learned.n_strings * 3 > 4 * language.CELLS  # several shards, and parts that ask apart
+    got = {r.doc_id: r for r in language.score(docs.select("doc_id", F.struct("text", "lang").alias("s")), learned, text="s.text", spread="doc_id").collect()}
+    models = {lang: plain_kneser_ney([t for _, t, own in rows if own == lang]) for lang in "xyz"}
+    unknown = 1 / (len(set.union(*(seen for _, seen in models.values()))) + 1)
+    assert got.keys() == {r[0] for r in rows}
+    for doc_id, text, lang in rows:
+        r, grams = got[doc_id], strings_of(text or "")
+        assert (r.s.text, r.s.lang) == (text, lang)
+        if not any(g[-1] != " " for g in grams):
+            assert (r.lang_pred, r.score, r.entropy, r.n_symbols) == ("und", 0, None, 0)
+            continue
+        nats = {name: -sum(np.log(p(g, unknown)) for g in grams) / len(grams) for name, (p, _) in models.items()}
+        best = min(nats, key=nats.get)
+        assert r.n_symbols == len(grams) and r.lang_pred == best and abs(r.entropy - nats[best]) < 1e-4
+
+
+def test_wrong_labels_do_not_loosen_the_rejection(spark):
+    rows = [(i, "x", 1.0 + i % 10 / 100, 100, "x", "calibrate") for i in range(300)]
+    wrong = [(1000 + i, "y", 5.0, 100, "x", "calibrate") for i in range(100)]
+    schema = "doc_id bigint, lang string, entropy double, n_symbols bigint, lang_pred string, use string"
+    out = language.with_rejection(spark.createDataFrame(rows + wrong + [(5000, None, 4.0, 100, "x", None)], schema)).collect()
+    assert {r.doc_id for r in out if r.rejected} == {r[0] for r in wrong} | {5000}
+
+
 def test_noise_is_rejected_and_clean_text_is_not(spark):
     rnd = random.Random(2)
     words = {lang: ["".join(rnd.choices(letters, k=rnd.randint(2, 7))) for _ in range(60)] for lang, letters in (("x", "aeioulnrst"), ("y", "äöükpmgdfh"))}
