@@ -42,7 +42,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     rows = _row(docs).select("_row", *(field(c).alias(c) for c in ("doc_id", "text", "lang")))
     rows = rows.withColumn("use", language.use("doc_id", "lang"))
     model = language.train(rows.where("use = 'fit'").select("lang", "text"))
-    scored = stored(language.score(rows.select("_row", "use", "text"), model), "languages")
+    scored = stored(language.score(rows.select("_row", "use", "lang"), model, text="_row.text", spread="_row.doc_id"), "languages")
     return _columns(language.with_rejection(scored).where("NOT rejected"), docs)
 
 
