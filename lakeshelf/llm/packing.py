@@ -12,7 +12,8 @@ merge and the result read it without tokenising again. ``docs`` must be a table,
 that gives the same partitions whenever a task is repeated.
 
 Defined cases: a null or empty text is its closing id alone; rows that repeat a document are packed
-one by one; the strings of special tokens are ordinary text; an empty table gives an empty result.
+one by one; the strings of special tokens become their ids, as in the library's own default, unless ``special_as_text``
+makes them ordinary text; an empty table gives an empty result.
 Columns other than ``doc_id`` and ``text`` are ignored.
 """
 
@@ -41,39 +42,41 @@ _COMMON = re.compile("[^\x00-ɏ‐-‧]").search
 class Encoder:
     """Ids of a byte-level BPE file of the ``tokenizers`` library.
 
-    The same vocabulary is also given to a faster byte-pair encoder for text of common characters;
-    both give the same ids, which the tests compare.
+    The same vocabulary is also given to a faster byte-pair encoder for text of common characters that
+    holds no string of a special token; both give the same ids, which the tests compare.
     """
 
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         import tiktoken
         from tokenizers import Tokenizer
 
         self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True
+        self.exact.encode_special_tokens = special_as_text
         # Byte-level files write each byte as one printable character: itself, or the next free one from 256 on.
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         byte_of = {chr(b): b for b in printable}
         byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in printable)}
         special = {t.content for t in self.exact.get_added_tokens_decoder().values()}
+        self.special = () if special_as_text else tuple(special)
         ranks = {bytes(byte_of[c] for c in token): i for token, i in self.exact.get_vocab().items() if token not in special}
         self.fast = tiktoken.Encoding("file", pat_str=self.SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
-        if text.isascii() or not _COMMON(text):
+        if (text.isascii() or not _COMMON(text)) and not any(x in text for x in self.special):
             return self.fast.encode_to_numpy(text, disallowed_special=())
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
+    key = path, special_as_text
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
 
 
 class Windows:
@@ -131,6 +134,7 @@ def pack(
     open_windows: int = OPEN,
     max_gap: int = MAX_GAP,
     with_ids: bool = False,
+    special_as_text: bool = False,
 ) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text): doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset [, ids].
 
@@ -143,7 +147,7 @@ def pack(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        yield from _pack_stream(batches, part, tokenizer, length, end, open_windows, max_gap, with_ids, first)
+        yield from _pack_stream(batches, part, tokenizer, length, end, open_windows, max_gap, with_ids, first, special_as_text)
 
     pieces = stored(docs.select("doc_id", "text").mapInArrow(read, first), "pieces")
 
@@ -155,8 +159,8 @@ def pack(
     return pieces.where("NOT is_open").select(*result.names).unionByName(merged)
 
 
-def _pack_stream(batches, part, tokenizer, length, end, open_windows, max_gap, with_ids, schema):
-    encode, rows, number = encoder(tokenizer), [], part << 32
+def _pack_stream(batches, part, tokenizer, length, end, open_windows, max_gap, with_ids, schema, special_as_text):
+    encode, rows, number = encoder(tokenizer, special_as_text), [], part << 32
 
     def emit(pieces: list, is_open: bool = False) -> None:
         nonlocal number

@@ -5,6 +5,7 @@ import hashlib
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lakeshelf.llm import language, license_scan, mixing, near_text, near_vectors, packing, quality, secret_scan, substring_dedup, vector_search
@@ -132,7 +133,9 @@ def test_packing(docs):
     assert [r.doc_tokens for r in rows[3] + rows[4]] == [1, 1] and rows[3][0].ids == [1]
     assert len(rows[2]) == 2
     assert sum(r.length for r in rows[5]) == rows[5][0].doc_tokens
-    assert 50256 not in rows[10][0].ids
+    assert 50256 in rows[10][0].ids  # as by the library's default
+    plain = by_id(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True, special_as_text=True).collect())
+    assert 50256 not in plain[10][0].ids
     assert packing.pack(docs.limit(0), public_tokenizers.path("byte_bpe_50k.json")).count() == 0
 
 

@@ -65,7 +65,6 @@ def test_op2_recall(spark):
 
 def test_op3_round_trip(spark):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     docs = table("documents")
     ids = {r["doc_id"]: [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 1] for r in docs}
     pieces, sequences = defaultdict(list), defaultdict(list)
