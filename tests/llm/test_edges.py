@@ -140,9 +140,13 @@ def test_packing(docs):
 
 
 def test_encoders_agree():
-    encode = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
-    for text in ("it's  42 \n\n x", "naïve – “quoted” … é é", "\x85\x1c\x0b a", "<|endoftext|>", "漢字 и кириллица", ""):
-        assert encode(text).tolist() == encode.exact.encode(text, add_special_tokens=False).ids
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    for as_text in (False, True):
+        encode, exact = packing.encoder(path, as_text), Tokenizer.from_file(path)
+        exact.encode_special_tokens = as_text
+        for text in ("it's  42 \n\n x", "naïve – “quoted” … é é", "\x85\x1c\x0b a", "<|endoftext|>", "漢字 и кириллица", "", "a <|endoftext|> b", "漢字 <|endoftext|>"):
+            assert encode(text).tolist() == exact.encode(text, add_special_tokens=False).ids
+    assert packing.encoder(path)("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
 
 
 def test_open_windows_are_bounded():
