@@ -14,7 +14,7 @@ more that a look-up needs have in common. What is shorter (pairs of symbols and
 4096 squared of them) goes to every shard. Shards are sorted arrays with one log-probability column
 per language.
 
-Documents are spread over parts. A part asks each shard for the distinct strings of its texts, gets
+Documents are spread over parts, in compressed bundles. A part asks each shard for the distinct strings of its texts, gets
 their log-probabilities back, and adds them up over every position of the whole texts. A text has the
 language with the lowest cross-entropy per symbol.
 
@@ -361,9 +361,9 @@ def score(docs: DataFrame, model: Counts | None, text: str = "text", spread: str
     order = ["_part", first, *(c for c in rest if c != first)]
     taken = [order.index(c) for c in rest]
 
-    def slices(table: pa.Table) -> Iterator[tuple[pa.Array, pa.RecordBatch]]:
+    def slices(batches) -> Iterator[tuple[pa.Array, pa.RecordBatch]]:
         """Texts and rows, about ``SLICE`` bytes of text at a time."""
-        for whole in table.to_batches():
+        for whole in batches:
             texts = pc.struct_field(whole.column(1), inside) if inside else whole.column(1)
             both = pa.RecordBatch.from_arrays([texts, *whole.columns], [str(i) for i in range(whole.num_columns + 1)])
             for batch in by_bytes(both, 0, SLICE):
@@ -376,15 +376,32 @@ def score(docs: DataFrame, model: Counts | None, text: str = "text", spread: str
 
         def reject(batches) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for texts, batch in slices(pa.Table.from_batches([whole])):
+                for texts, batch in slices([whole]):
                     n = np.diff(keys_of(texts)[1])
                     yield result(batch, n, np.zeros((len(n), 0)))
 
         return placed.mapInArrow(reject, schema)
 
+    def bundle(batches) -> Iterator[pa.RecordBatch]:
+        """The rows of a batch that go to one part, as one compressed value: texts shuffle at a fraction of their size."""
+        how = pa.ipc.IpcWriteOptions(compression="zstd")
+        for whole in batches:
+            parts = whole.column(0).to_numpy(zero_copy_only=False)
+            by_part = np.argsort(parts, kind="stable")
+            numbers, starts = np.unique(parts[by_part], return_index=True)
+            for part, at in zip(numbers.tolist(), np.split(by_part, starts[1:])):
+                out = pa.BufferOutputStream()
+                with pa.ipc.new_stream(out, whole.schema, options=how) as writer:
+                    writer.write_batch(whole.take(pa.array(at)))
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([out.getvalue().to_pybytes()], pa.binary())], ["_part", "rows"])
+
+    def rows_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for rows in table.column("rows"):
+            yield from pa.ipc.open_stream(rows.as_buffer())
+
     def asked(table: pa.Table) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
         """The distinct strings of a part, and which of them each shard is asked for."""
-        found = [np.unique(keys_of(texts)[0]) for texts, _ in slices(table)]
+        found = [np.unique(keys_of(texts)[0]) for texts, _ in slices(rows_of(table))]
         grams = np.unique(np.concatenate(found))
         shard = _shard(grams, shards)
         by_shard = np.argsort(shard, kind="stable")
@@ -420,7 +437,7 @@ def score(docs: DataFrame, model: Counts | None, text: str = "text", spread: str
         for shard, at in wanted:
             scores[at] = np.frombuffer(held.pop(shard), np.float32).reshape(len(at), len(languages))
         out = []
-        for texts, batch in slices(table):
+        for texts, batch in slices(rows_of(table)):
             n, entropies = cross_entropies(texts, lambda keys: scores[np.searchsorted(grams, keys)], len(languages))
             out.append(result(batch, n, entropies))
         return pa.Table.from_batches(out)
@@ -432,10 +449,11 @@ def score(docs: DataFrame, model: Counts | None, text: str = "text", spread: str
     long = model.strings.withColumn("level", F.lit(ORDER)).select(_shard(F.col("gram"), shards).alias("shard"), all_blocks, *counted)
     all_shards = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard")
     low = model.short.select(all_shards, *counted).select("shard", all_blocks, "level", "lang", "gram", "n")
-    questions = placed.groupBy("_part").applyInArrow(ask, "shard bigint, block bigint, part bigint, grams binary")
+    bundles = placed.mapInArrow(bundle, "_part bigint, rows binary")
+    questions = bundles.groupBy("_part").applyInArrow(ask, "shard bigint, block bigint, part bigint, grams binary")
     answers = questions.groupBy("shard", "block").cogroup(long.unionByName(low).groupBy("shard", "block"))
     answers = answers.applyInArrow(answer, "part bigint, shard bigint, scores binary")
-    return placed.groupBy("_part").cogroup(answers.groupBy("part")).applyInArrow(finish, schema)
+    return bundles.groupBy("_part").cogroup(answers.groupBy("part")).applyInArrow(finish, schema)
 
 
 def with_rejection(scored: DataFrame) -> DataFrame:
