@@ -1115,17 +1115,24 @@ _rental_query(
     ) AS ranked WHERE category_amt_rank = 1
     """,
 )
-_rental_query(
-    "rental_top_actors_of_category",
-    partial(rental.top_actors_of_category, category="Brand#7"),
-    """
+_ACTORS_OF_CATEGORY = """
     SELECT * FROM (
         SELECT first_name, last_name, count(*) AS actor_film_cnt, dense_rank() OVER (ORDER BY count(*) DESC) AS actor_rank
         FROM category JOIN film_category USING (category_id) JOIN film USING (film_id)
         JOIN film_actor USING (film_id) JOIN actor USING (actor_id)
         WHERE name = 'Brand#7' GROUP BY actor_id, first_name, last_name
     ) AS ranked WHERE actor_rank <= 3
-    """,
+"""
+_rental_query(
+    "rental_top_actors_of_category",
+    partial(rental.top_actors_of_category, category="Brand#7"),
+    _ACTORS_OF_CATEGORY,
+)
+_rental_query(
+    "rental_top_actors_reduced",
+    partial(rental.top_actors_of_category, category="Brand#7"),
+    _ACTORS_OF_CATEGORY,
+    reduce=True,
 )
 _CITY_COUNTS = """
     SELECT city, CAST(sum(active) AS BIGINT) AS active_cnt,
@@ -1161,6 +1168,12 @@ _rental_query(
     rental.longest_rented_categories,
     _CITY_TIMES.format(measure="date_diff('microsecond', rental_date, return_date)"),
 )
+_rental_query(
+    "rental_longest_reduced",
+    rental.longest_rented_categories,
+    _CITY_TIMES.format(measure="date_diff('microsecond', rental_date, return_date)"),
+    reduce=True,
+)
 _rental_query(
     "rental_longest_in_cities_days",
     rental.longest_rented_categories,

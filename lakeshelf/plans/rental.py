@@ -24,6 +24,7 @@ from lakeshelf.functions import (
 from lakeshelf.operators.aggregates import add_up, carry_up, count_rows, flag_count
 from lakeshelf.operators.joins import without_match
 from lakeshelf.operators.ranking import leaders_per_group, top_k, top_k_cut
+from lakeshelf.operators.reduction import possible_matches
 from lakeshelf.operators.rows import tag_rows
 
 Tables = Mapping[str, DataFrame]
@@ -100,14 +101,23 @@ def films_without_inventory(tables: Tables) -> DataFrame:
     return missing.orderBy("title", "film_id").select("title")
 
 
-def top_actors_of_category(tables: Tables, category: str = "Children", k: int = 3) -> DataFrame:
-    """5: actors with the ``k`` highest numbers of films in a category, ties kept."""
+def top_actors_of_category(
+    tables: Tables, category: str = "Children", k: int = 3, reduce: bool = False
+) -> DataFrame:
+    """5: actors with the ``k`` highest numbers of films in a category, ties kept.
+
+    ``reduce`` drops actors of other categories' films before the shuffle, at the price of
+    another pass over the category's films: for links too many to shuffle whole.
+    """
     n = ["actor_film_cnt"]
     wanted = tables["category"].where(F.col("name") == category).select("category_id")
     films = tables["film_category"].select("film_id", "category_id").join(wanted, "category_id")
     films = films.join(tables["film"].select("film_id"), "film_id")
     per_film = count_rows(films, ["film_id"], "actor_film_cnt", splittable=True)
-    per_actor = carry_up(per_film, tables["film_actor"], "film_id", ["actor_id"], n)
+    film_actor = tables["film_actor"]
+    if reduce:
+        film_actor = possible_matches(film_actor, films, "film_id")
+    per_actor = carry_up(per_film, film_actor, "film_id", ["actor_id"], n)
     per_actor = carry_up(
         per_actor, tables["actor"], "actor_id", ["actor_id", "first_name", "last_name"], n
     )
@@ -148,12 +158,15 @@ def longest_rented_categories(
     tables: Tables,
     patterns: Mapping[str, Column] | None = None,
     measure: str = "seconds",
+    reduce: bool = False,
 ) -> DataFrame:
     """7: per group of cities, the category with the longest total rental time.
 
     One pass for all groups: cities are tagged first, the tags travel to the customers, and
-    rentals of other customers are dropped before anything is summed. ``measure`` is
-    ``"seconds"`` (exact) or ``"days"`` (whole calendar days).
+    rentals of other customers are dropped before anything is summed; with ``reduce`` most of
+    them before they are shuffled, at the price of another pass over the customers: for few
+    cities and many rentals. ``measure`` is ``"seconds"`` (exact) or ``"days"`` (whole calendar
+    days).
     """
     start, end = F.col("rental_date"), F.col("return_date")
     time = {"seconds": exact_seconds, "days": whole_days}[measure](start, end)
@@ -164,6 +177,8 @@ def longest_rented_categories(
     returned = (
         tables["rental"].where(end.isNotNull()).select("customer_id", "inventory_id", time.alias("rtime"))
     )
+    if reduce:
+        returned = possible_matches(returned, tagged, "customer_id")
     t, kept = ["rtime"], ["title"]
     sums = add_up(
         returned.join(tagged.select("customer_id", "title"), "customer_id"), ["inventory_id", *kept], t
