@@ -1,6 +1,7 @@
 """Bad lines set aside, one large JSON array over many tasks, types from texts, and layouts that spare work at run time."""
 
 import json
+import os
 import random
 
 import pytest
@@ -230,3 +231,26 @@ def test_bucket_counts_divide(spark):
         assert df.count() == 100
         plan = final_plan(df)
     assert "Exchange" not in plan and "SelectedBucketsCount: 8 out of 8 (Coalesced to 4)" in plan
+
+
+def test_records_of_an_array_are_not_shuffled(spark, tmp_path):
+    """Only the ends of splits move, not every piece between two braces."""
+    rows = nested(3000, 3)
+    path = put(tmp_path, "x.json", json.dumps(rows, indent=1))
+    with settings(spark, files__maxPartitionBytes="64k", files__openCostInBytes="1", adaptive__enabled="false"):
+        df = read_json_array(spark, path, StructType.fromDDL(NESTED), file="_file")
+        moved = _shuffled_rows(df)
+    assert moved and max(moved) <= 4 * (os.path.getsize(path) // 65536 + 1)
+
+
+def _shuffled_rows(df):
+    """Rows that each shuffle of the plan wrote, after it has run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    assert sum(1 for _ in df.toLocalIterator()) == 3000
+    counts, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Exchange":
+            counts.append(node.metrics().apply("shuffleRecordsWritten").value())
+    return counts
