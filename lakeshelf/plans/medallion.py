@@ -44,8 +44,9 @@ class MissingDay(LookupError):
 # --- bronze -----------------------------------------------------------------------------
 
 
-def land_table(df: DataFrame, root: str, table: str, day: Day, sep: str = SEPARATOR) -> None:
-    write_csv(df, day_path(root, table, day), sep)
+def land_table(df: DataFrame, root: str, table: str, day: Day, sep: str = SEPARATOR, gather: bool = False) -> None:
+    """A whole table; ``gather`` is for a few rows of a large one (see ``write_csv``)."""
+    write_csv(df, day_path(root, table, day), sep, gather)
 
 
 def land_days(df: DataFrame, root: str, table: str, sep: str = SEPARATOR) -> None:
@@ -72,7 +73,7 @@ def land_day(source: Source, root: str, day: Day, sep: str = SEPARATOR) -> None:
     for table in schemas.SHOP_DIMENSIONS:
         names = schemas.SHOP[table].names
         land_table(source(table).select(*names), root, table, day, sep)
-    land_table(orders_of_day(source("orders"), day), root, "orders", day, sep)
+    land_table(orders_of_day(source("orders"), day), root, "orders", day, sep, gather=True)
 
 
 # --- silver -----------------------------------------------------------------------------

@@ -30,6 +30,8 @@ _MOMENTS = {
 }
 # A null in a frame of one column would be an empty line, which readers skip; a second column prevents that.
 FILLER = "_filler"
+#: Rows of a CSV file. Values may hold line breaks, so a file is read by one task.
+ROWS_PER_FILE = 500_000
 
 
 def csv_writer(df: DataFrame, sep: str = ",") -> DataFrameWriter:
@@ -45,11 +47,16 @@ def csv_writer(df: DataFrame, sep: str = ",") -> DataFrameWriter:
     )
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """CSV in files cut to size."""
+def write_csv(df: DataFrame, path: str, sep: str = ",", gather: bool = False) -> None:
+    """CSV in files of at most ``ROWS_PER_FILE`` rows.
+
+    Each task writes the rows it has: a large table is not shuffled once more only to cut its files to size. With ``gather`` it is, for a
+    few rows out of many tasks, which would else make a small file each.
+    """
     if len(df.columns) == 1:
         df = df.withColumn(FILLER, F.lit(1))
-    csv_writer(with_file_count(df, None), sep).csv(path)
+    rows = with_file_count(df, None) if gather else df
+    csv_writer(rows, sep).option("maxRecordsPerFile", ROWS_PER_FILE).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakeshelf.functions import cents, from_cents, money
 from lakeshelf.schemas import OUT_OF_STOCK, SHOP
 from lakeshelf.session import scratch_path
+from lakeshelf.sinks import files
 from lakeshelf.sinks.files import as_array_documents, write_csv, write_documents, write_json, write_parquet
 from lakeshelf.sources.layout import day_path, days_glob
 from lakeshelf.sources.payloads import read_json_numbers, read_json_objects
@@ -193,3 +194,15 @@ def test_money_and_cents_round_alike(spark):
         got = df.select(money(F.col("v")).alias("m"), from_cents(cents(F.col("v"))).cast("decimal(18,2)").alias("c")).collect()
         assert all(r.m == r.c for r in got)
         assert [str(r.m) for r in got] == ["0.13", "1.01", "-0.13", "2.68"]
+
+
+def test_csv_is_written_by_the_tasks_that_have_the_rows(spark, tmp_path, monkeypatch):
+    """A large table is not shuffled before it is landed; its files are cut by their rows."""
+    df = spark.range(0, 1000, 1, 5).select("id", (F.col("id") % 7).alias("k"))
+    monkeypatch.setattr(files, "ROWS_PER_FILE", 60)
+    for gather, least in ((False, 20), (True, 17)):
+        path = f"{tmp_path}/{gather}.csv"
+        write_csv(df, path, gather=gather)
+        sizes = [len((tmp_path / f"{gather}.csv" / f).read_text().splitlines()) - 1 for f in os.listdir(path) if f.endswith(".csv")]
+        assert len(sizes) == least and max(sizes) <= 60
+        assert sorted(r.id for r in read_csv(spark, path, df.schema).collect()) == list(range(1000))
