@@ -53,6 +53,8 @@ WIDE = 16
 QUANTILE, SLACK, MARGIN = 0.9995, 1.5, 1.25
 #: Bytes of text that are worked on at once; several numbers per character are held for them.
 SLICE = 1 << 20
+#: Rows that are bundled at once.
+BUNDLED = 10_000
 #: Symbols from which on a longer text makes the decision no surer, for the score only.
 SURE = 40
 
@@ -242,7 +244,7 @@ def build_model(
     if alphabet is None:
         alphabet = max(2, len(np.unique(np.concatenate([grams[0][lang][0] for lang in languages]))) + 1)
     unknown = np.full(len(languages), 1.0 / alphabet)
-    all_keys, all_p, all_contexts, all_w = [], [], [], []
+    all_keys, logs, all_contexts, log_w, last = [], [], [], [], None
     for order in range(1, ORDER + 1):
         here = grams[order - 1]
         keys = np.unique(np.concatenate([here[lang][0] for lang in languages]))
@@ -256,14 +258,23 @@ def build_model(
             at = np.searchsorted(contexts, context)
             w[at, j] = discount * np.bincount(of) / total
             p[np.searchsorted(keys, own), j] = np.maximum(n - discount, 0) / total[of]
-        lower = np.broadcast_to(unknown, p.shape)
+        context = np.searchsorted(contexts, keys >> BITS)
         if order > 1:
-            at, hit = _found(all_keys[-1], keys & _suffix(order - 1))
-            lower = all_p[-1][at]  # the suffix of every string is there, since counts come from it
-        p += w[np.searchsorted(contexts, keys >> BITS)] * lower
-        all_keys.append(keys), all_p.append(p), all_contexts.append(contexts), all_w.append(w)
-    logs = [np.log(p).astype(np.float32) for p in all_p]
-    return Model(languages, all_keys, logs, all_contexts, [np.log(w).astype(np.float32) for w in all_w], np.log(unknown).astype(np.float32))
+            at, hit = _found(all_keys[-1], keys & _suffix(order - 1))  # the suffix of every string is there, since counts come from it
+        # A language at a time, and doubles of two orders only: a worker holds no further copies of all numbers.
+        for j in range(len(languages)):
+            p[:, j] += w[context, j] * (last[at, j] if order > 1 else unknown[j])
+        last = p
+        all_keys.append(keys), logs.append(_logs(p)), all_contexts.append(contexts), log_w.append(_logs(w))
+    return Model(languages, all_keys, logs, all_contexts, log_w, np.log(unknown).astype(np.float32))
+
+
+def _logs(numbers: np.ndarray) -> np.ndarray:
+    """As float32, without a whole copy as doubles."""
+    out = np.empty(numbers.shape, np.float32)
+    for j in range(numbers.shape[1]):
+        out[:, j] = np.log(numbers[:, j])
+    return out
 
 
 def _by_language(table: pa.Table, languages: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
@@ -385,7 +396,7 @@ def score(docs: DataFrame, model: Counts | None, text: str = "text", spread: str
     def bundle(batches) -> Iterator[pa.RecordBatch]:
         """The rows of a batch that go to one part, as one compressed value: texts shuffle at a fraction of their size."""
         how = pa.ipc.IpcWriteOptions(compression="zstd")
-        for whole in batches:
+        for whole in together(batches):
             parts = whole.column(0).to_numpy(zero_copy_only=False)
             by_part = np.argsort(parts, kind="stable")
             numbers, starts = np.unique(parts[by_part], return_index=True)
@@ -395,6 +406,17 @@ def score(docs: DataFrame, model: Counts | None, text: str = "text", spread: str
                     writer.write_batch(whole.take(pa.array(at)))
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([out.getvalue().to_pybytes()], pa.binary())], ["_part", "rows"])
 
+    def together(batches) -> Iterator[pa.RecordBatch]:
+        """Batches of about ``BUNDLED`` rows, so that bundles do not shrink with Spark's batches."""
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= BUNDLED:
+                yield pa.concat_batches(held)
+                held = []
+        if held:
+            yield pa.concat_batches(held)
+
     def rows_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
         for rows in table.column("rows"):
             yield from pa.ipc.open_stream(rows.as_buffer())
